@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Unicode white space plus the four ASCII separators, which Java's \s leaves out.
 WS = r"(?U)[\s\x1c-\x1f]"
+# The same characters as a trim set.
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # Fixed value: control characters that are stripped; TAB, LF and CR stay.
 CONTROL_CHARS = r"[\x00-\x08\x0B-\x0C\x0E-\x1F]"
 # Fixed value: separator between key parts.
@@ -15,7 +17,7 @@ _CASED = r"(?U)[\p{IsUppercase}\p{IsLowercase}\p{Lt}]+|(?U)[^\p{IsUppercase}\p{I
 
 def strip_ws(c: Column) -> Column:
     """Remove white space at both ends (``F.trim`` knows only the space)."""
-    return F.regexp_replace(F.regexp_replace(c, "^" + WS + "+", ""), WS + r"+\z", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def normalise(c: Column) -> Column:
