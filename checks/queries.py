@@ -203,7 +203,7 @@ def ordered_commit(spark: SparkSession, d: str) -> DataFrame:
     for part, ok in saved.items():
         piece = rows.where(F.col("row_index") % 3 == part)
         sinks.commit(
-            piece, piece.select("row_key"), f"{base}/data/wave={part}", f"{base}/state/wave={part}", lambda _, ok=ok: ok
+            piece, lambda rows: rows.select("row_key"), f"{base}/data/wave={part}", f"{base}/state/wave={part}", lambda _, ok=ok: ok
         )
     data = spark.read.parquet(f"{base}/data").groupBy("wave").agg(F.count(F.lit(1)).alias("n_data"))
     state = spark.read.parquet(f"{base}/state").groupBy("wave").agg(F.count(F.lit(1)).alias("n_state"))

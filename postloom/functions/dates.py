@@ -6,22 +6,23 @@ from pyspark.sql import Column, functions as F
 
 from postloom.functions.text import strip_ws
 
-# Layouts tried in turn after ISO; month comes first in slashed dates.
+# Layouts after ISO, each with the shape of text it is tried on: a parse that
+# fails is far slower than a shape that does not match. Month first in slashed dates.
 DATE_LAYOUTS = (
-    "yyyy-M-d",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "MMM d yyyy",
-    "MMMM d yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "M/d/yyyy",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "yyyy/M/d",
-    "yyyyMMdd",
-    "d-MMM-yyyy",
-    "M-d-yyyy",
+    ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+    ("yyyyMMdd", r"^\d{8}$"),
+    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("M/d/yyyy H:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$"),
+    ("M/d/yyyy H:mm:ss", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$"),
+    ("M-d-yyyy", r"^\d{1,2}-\d{1,2}-\d{4}$"),
+    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
+    ("MMMM d, yyyy", r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$"),
+    ("MMM d yyyy", r"^[A-Za-z]{3} \d{1,2} \d{4}$"),
+    ("MMMM d yyyy", r"^[A-Za-z]{3,9} \d{1,2} \d{4}$"),
+    ("d MMM yyyy", r"^\d{1,2} [A-Za-z]{3} \d{4}$"),
+    ("d MMMM yyyy", r"^\d{1,2} [A-Za-z]{3,9} \d{4}$"),
+    ("d-MMM-yyyy", r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"),
 )
 
 
@@ -35,10 +36,11 @@ def iso_timestamp(c: Column) -> Column:
     return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"), t.try_cast("timestamp"))
 
 
-def lenient_timestamp(c: Column, layouts: tuple[str, ...] = DATE_LAYOUTS) -> Column:
+def lenient_timestamp(c: Column, layouts: tuple[tuple[str, str], ...] = DATE_LAYOUTS) -> Column:
     """First layout that fits, else NULL. ISO is tried first."""
     t = strip_ws(c)
-    return F.coalesce(iso_timestamp(c), *[F.try_to_timestamp(t, F.lit(f)) for f in layouts])
+    tries = [F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(layout))) for layout, shape in layouts]
+    return F.coalesce(iso_timestamp(c), *tries)
 
 
 def print_date(c: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from postloom.functions.attempts import cost_usd
 from postloom.functions.text import is_source_file
 from postloom.operators.enrich import CALL_ROWS, ModelFn, call_model, results_of, with_prompt
-from postloom.operators.pending import pending_rows, row_key
+from postloom.operators.pending import done_keys, pending_rows, row_key
 from postloom.operators.postings import with_ai_columns
 from postloom.schema import ROW_ID
 from postloom.session import shuffle_width
@@ -126,8 +126,7 @@ def enrich(
             "overwrite"
         ).parquet(f"{folder}/attempts/{place}")
         results = results_of(spark.read.parquet(f"{folder}/attempts/{place}"), [*ROW_ID, "row_key"])
-        keys = results.where("usable").select("row_key", F.current_timestamp().alias("done_at"))
-        commit(results, keys, f"{folder}/results/{place}", f"{folder}/processed/{place}")
+        commit(results, done_keys, f"{folder}/results/{place}", f"{folder}/processed/{place}")
 
     query = (
         df.writeStream.foreachBatch(step)
