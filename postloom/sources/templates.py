@@ -11,9 +11,8 @@ from postloom.functions.text import file_stem
 def read_templates(spark: SparkSession, folder: str) -> DataFrame:
     """One row per ``*.txt`` file: name, content, modified_at."""
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.txt")
-        .text(folder)
+        spark.read.option("pathGlobFilter", "*.txt")
+        .text(folder, wholetext=True)
         .select(
             file_stem(F.col("_metadata.file_name")).alias("name"),
             F.col("value").alias("content"),
