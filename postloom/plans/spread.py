@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postloom.session import shuffle_width
 
 # A key is hot from this share of all rows on, so there are at most 1/share hot
-# keys; that is the proven bound for the broadcasts below.
-HOT_SHARE = 0.01
+# keys; that is the proven bound for the broadcasts below. Keys with fewer rows
+# than HOT_ROWS are left alone however small the table is.
+HOT_SHARE = 0.0001
+HOT_ROWS = 1_000_000
 
 
 def _present(keys: Sequence[str]) -> Column:
@@ -20,14 +22,21 @@ def _present(keys: Sequence[str]) -> Column:
     return cond
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """The at most ``1/share`` key values that each hold ``share`` of the rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = None, min_rows: int | None = None) -> DataFrame:
+    """The at most ``1/share`` key values holding ``share`` of the rows each, and into how many places to split them.
 
-    Reads the key columns only; counts are combined before the shuffle.
+    Reads the key columns only; counts are combined before the shuffle. A key
+    gets twice its share of the shuffle partitions, so all hot keys together get
+    at most two places per partition, plus two each.
     """
+    share, min_rows = share or HOT_SHARE, HOT_ROWS if min_rows is None else min_rows
+    width = shuffle_width(df.sparkSession)
     counts = df.where(_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") >= total * share).select(*keys)
+    fair = F.ceil(F.col("_n") * width / total) * 2
+    return counts.where((F.col("_n") >= min_rows) & (F.col("_n") >= total * share)).select(
+        *keys, F.least(F.lit(width), F.greatest(F.lit(2), fair)).cast("int").alias("_fan")
+    )
 
 
 def lookup(
@@ -36,24 +45,23 @@ def lookup(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    share: float = HOT_SHARE,
+    share: float | None = None,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which holds each key once, without a hot task.
 
-    Left rows with a hot or NULL key are spread over all shuffle partitions by a
-    hash of ``spread_by`` (a unique row id); only the hot rows of ``right``, at
-    most ``1/share`` of them, are copied to each of those places. ``how`` is any
-    join that keeps left rows or pairs: left, inner, left_semi, left_anti.
+    Left rows with a hot key go to one of the key's places by a hash of
+    ``spread_by`` (a unique row id), rows with a NULL key anywhere; only the hot
+    rows of ``right`` are copied to each of their places. ``how`` is any join
+    that keeps left rows or pairs: left, inner, left_semi, left_anti.
     """
     keys = list(keys)
     width = shuffle_width(left.sparkSession)
-    hot = F.broadcast(hot_keys(left, keys, share).withColumn("_hot", F.lit(True)))
-    place = F.pmod(F.xxhash64(*spread_by), F.lit(width)).cast("int")
-    spread = left.join(hot, keys, "left").withColumn(
-        "_place", F.when(F.col("_hot") | ~_present(keys), place).otherwise(F.lit(0))
-    ).drop("_hot")
+    hot = F.broadcast(hot_keys(left, keys, share, min_rows))
+    fan = F.when(_present(keys), F.coalesce(F.col("_fan"), F.lit(1))).otherwise(F.lit(width))
+    place = F.when(fan == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), fan).cast("int"))
+    spread = left.join(hot, keys, "left").withColumn("_place", place).drop("_fan")
     copies = right.join(hot, keys, "left").withColumn(
-        "_place",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(width - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
+        "_place", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1))
+    ).drop("_fan")
     return spread.join(copies, [*keys, "_place"], how).drop("_place")

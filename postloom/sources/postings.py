@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from postloom.functions.dates import iso_timestamp, lenient_timestamp
 from postloom.functions.text import is_source_file, result_file
@@ -44,8 +44,9 @@ def number_text_rows(df: DataFrame) -> DataFrame:
 
     Text formats have no row number. Within a task ids rise in reading order, so
     a row's place in its split is its id minus the split's first id, and the
-    split's place is the row count of the splits before it. Only one row per
-    split is shuffled; splits are cut by ``spark.sql.files.maxPartitionBytes``.
+    split's place is the row count of the splits before it. The counts, one row
+    per split, are broadcast while Spark finds them small; past that, rows are
+    shuffled by split, whose size ``spark.sql.files.maxPartitionBytes`` bounds.
     """
     tagged = df.select(
         "*",
@@ -54,8 +55,6 @@ def number_text_rows(df: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    from pyspark.sql import Window
-
     splits = tagged.groupBy("_path", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select(
@@ -88,12 +87,15 @@ def to_postings(df: DataFrame) -> DataFrame:
     return rows.select(*ROW_ID, *POSTING_SCHEMA.fieldNames(), *ai)
 
 
-def scan_postings(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
+def scan_postings(
+    spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet", multiline: bool = True
+) -> DataFrame:
     """Posting rows of headed Parquet, CSV or JSON-lines tables.
 
-    CSV files may hold line breaks inside quotes, which makes each file one
-    split; keep them moderate or convert to Parquet, where the row number comes
-    with the scan and columns and filters are pushed down.
+    With ``multiline``, CSV cells may hold line breaks, and each CSV file is one
+    split; without it, or as JSON lines, large files are split. Parquet is the
+    format to keep tables in: the row number comes with the scan, and columns and
+    filters are pushed down.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "parquet":
@@ -102,7 +104,7 @@ def scan_postings(spark: SparkSession, paths: str | Sequence[str], fmt: str = "p
             raw.select("*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.row_index").alias("row_index"))
         )
     if fmt == "csv":
-        raw = spark.read.options(header=True, multiLine=True, escape='"').csv(paths)
+        raw = spark.read.options(header=True, multiLine=multiline, escape='"').csv(paths)
     elif fmt == "json":
         raw = spark.read.schema(_TEXT_HEADINGS).json(paths)
     else:

@@ -7,10 +7,17 @@ from pyspark.sql import functions as F
 
 from postloom.functions.text import with_keys
 from postloom.operators import dedup, enrich, pending, postings as post
+from postloom.plans import spread
 from postloom.plans.spread import hot_keys, lookup
 from postloom.schema import AI_COLUMNS
 
 
+@pytest.fixture(autouse=True)
+def small_hot_keys(monkeypatch):
+    """Let the hot-key path run on small tables."""
+    monkeypatch.setattr(spread, "HOT_ROWS", 5)
+
+
 def skewed(seed, n=300):
     """(id, key, flag): a third of the rows share the key 'hot', some have none."""
     rnd = random.Random(seed)
@@ -20,8 +27,9 @@ def skewed(seed, n=300):
 
 def test_hot_keys(spark):
     df = spark.createDataFrame(skewed(1), "i long, k string, f boolean")
-    assert [r.k for r in hot_keys(df, ["k"], 0.2).collect()] == ["hot"]
-    assert hot_keys(df, ["k"], 0.01).count() <= 100
+    assert [r.k for r in hot_keys(df, ["k"], 0.2, 1).collect()] == ["hot"]
+    assert hot_keys(df, ["k"], 0.01, 1).count() <= 100
+    assert hot_keys(df, ["k"], min_rows=10_000).count() == 0
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
@@ -29,7 +37,7 @@ def test_hot_keys(spark):
 def test_lookup_is_a_join(spark, how, share):
     left = spark.createDataFrame(skewed(2), "i long, k string, f boolean")
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("absent", 4), (None, 5)], "k string, v int")
-    got = lookup(left, right, ["k"], ["i"], how, share)
+    got = lookup(left, right, ["k"], ["i"], how, share, 1)
     want = left.join(right, "k", how)
     assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
 
@@ -41,7 +49,7 @@ def test_lookup_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        parts = lookup(left, right, ["k"], ["i"]).groupBy(F.spark_partition_id()).count().collect()
+        parts = lookup(left, right, ["k"], ["i"], min_rows=1).groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
