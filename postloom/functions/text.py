@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Unicode white space plus the four ASCII separators, which Java's \s leaves out.
-WS = r"(?U)[\s\x1c-\x1f]"
-# The same characters as a trim set.
-WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+# White space: the Unicode kind plus the four ASCII separators. Spelled out, since
+# Java's \s is ASCII only and its Unicode mode is several times slower per character.
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Runs of white space other than a single space, which stays as it is.
+WS_RUN = WS.replace(r"\x1c-\x20", r"\x1c-\x1f") + WS + "*| " + WS + "+"
 # Fixed value: control characters that are stripped; TAB, LF and CR stay.
 CONTROL_CHARS = r"[\x00-\x08\x0B-\x0C\x0E-\x1F]"
 # Fixed value: separator between key parts.
@@ -22,7 +28,7 @@ def strip_ws(c: Column) -> Column:
 
 def normalise(c: Column) -> Column:
     """Lower-case, collapse white space, trim; NULL and the text ``nan`` give ''."""
-    folded = F.trim(F.regexp_replace(F.lower(c), WS + "+", " "))
+    folded = F.trim(F.regexp_replace(F.lower(c), WS_RUN, " "))
     return F.when(folded.isNull() | (folded == "nan"), F.lit("")).otherwise(folded)
 
 
