@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from public_tokenizers import path
 
-from postloom.llm import bpe, packing, quality, simhash
+from postloom.llm import bpe, packing, quality, repeats, simhash
 from postloom.llm.common import table
 
 BPE = path("byte_bpe_50k.json")
@@ -22,9 +22,13 @@ def op5_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), BPE)
 
 
+def op6_repeats(spark, sf_dir):
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark, sf_dir):
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op5_packing, op7_quality)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op5_packing, op6_repeats, op7_quality)}
 ORACLE: dict[str, str] = {}
