@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from public_tokenizers import path
 
-from postloom.llm import bpe, packing, quality, repeats, simhash
+from postloom.llm import bpe, packing, quality, repeats, rules, simhash
 from postloom.llm.common import table
 
 BPE = path("byte_bpe_50k.json")
@@ -30,5 +30,9 @@ def op7_quality(spark, sf_dir):
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op5_packing, op6_repeats, op7_quality)}
+def op9_rules(spark, sf_dir):
+    return rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op5_packing, op6_repeats, op7_quality, op9_rules)}
 ORACLE: dict[str, str] = {}
