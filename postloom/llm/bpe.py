@@ -184,6 +184,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
         offsets = np.fromiter(accumulate((len(p) // 4 for p in parts), initial=0), "int32", len(parts) + 1)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), "<i4")))
 
+    ids_of = ids_of.asNondeterministic()  # else a later UDF over the ids would make them once more
     return df.withColumn(ids, ids_of(text_or_empty(text)))
 
 
@@ -194,7 +195,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     @F.arrow_udf("string")
     def text_of(lists: pa.Array) -> pa.Array:
         c = codec(shared)
-        return pa.array([c.decode(x.values.to_pylist()) if x.is_valid else "" for x in lists], pa.string())
+        ids, at, n = lists.flatten().to_numpy(zero_copy_only=False), 0, lists.value_lengths().fill_null(0).to_pylist()
+        return pa.array([c.decode(ids[(at := at + k) - k : at].tolist()) for k in n], pa.string())
 
     return df.withColumn(text, text_of(F.col(f"`{ids}`")))
 
