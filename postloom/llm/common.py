@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
-from functools import lru_cache
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postloom.session import shared_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -18,10 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def tidy(spark: SparkSession):
+    """Queries that end within it leave no shuffle files behind."""
+    old = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if old is None else spark.conf.set(CLEANUP, old)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` through Parquet in the shared folder: cuts the lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with tidy(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -47,13 +59,3 @@ def file_bytes(path: str) -> bytes:
         raise ValueError(f"{path} has over {MAX_VOCABULARY_BYTES} bytes")
     with open(path, "rb") as f:
         return f.read()
-
-
-def per_worker(build: Callable):
-    """``build(broadcast)``, run once for each Python worker and broadcast value."""
-
-    @lru_cache(maxsize=2)
-    def cached(_key, shared):
-        return build(shared.value)
-
-    return lambda shared: cached(shared._jbroadcast.id() if shared._jbroadcast is not None else id(shared), shared)

@@ -1,6 +1,6 @@
 """Removal of byte strings that occur more than once, by suffix arrays of shards.
 
-Every place where ``width`` bytes start is keyed by the least hash of the 16-byte strings in those bytes. Equal
+Every place where ``width`` bytes start is keyed by the least hash of the 32-byte strings in those bytes. Equal
 strings have equal keys, so all that has to meet are places with one key. Neighbouring places mostly share their
 key: such a run, with the text that its strings cover, is a segment. Segments are counted by key and digest, in
 partial sums, before anything else moves:
@@ -25,28 +25,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from postloom.llm.common import fresh, text_or_empty, written
+from postloom.llm.common import fresh, text_or_empty, tidy, written
 from postloom.llm.suffix import repeated
 from postloom.session import shared_dir
 
 WIDTH = 200
-GRAM = 16
+GRAM = 32
 BLOCK = 1 << 16
 PLACE = (1 << 17) - 1  # the low bits of a hash hold its place, so that equal hashes in a window are told apart
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 4 << 20
+STEP = 16
+SLICE_BYTES = 4 << 20
 HOT_SEGMENTS = 4096
 FACTOR = 0x9E3779B97F4A7C15
 
 
 def window_keys(raw: np.ndarray, width: int) -> np.ndarray:
-    """For each place where ``width`` bytes start: the least (hash, place) of the 16-byte strings in them."""
+    """For each place where ``width`` bytes start: the least (hash, place) of the 32-byte strings in them."""
     h = raw.astype("u8") + np.uint64(1)
     step, factor = 1, FACTOR
     while step < GRAM:
-        h = h[:-step] * np.uint64(factor) + h[step:]
+        h = h[..., :-step] * np.uint64(factor) + h[..., step:]
         factor = factor * factor % (1 << 64)
         step *= 2
     h ^= h >> np.uint64(31)
@@ -54,12 +57,12 @@ def window_keys(raw: np.ndarray, width: int) -> np.ndarray:
     h ^= h >> np.uint64(32)
     h *= np.uint64(FACTOR)
     h &= np.uint64(~PLACE & (1 << 64) - 1)
-    h |= np.arange(len(h), dtype="u8")
+    h |= np.arange(h.shape[-1], dtype="u8")
     span, n = 1, width - GRAM + 1
     while 2 * span <= n:
-        h = np.minimum(h[:-span], h[span:])
+        h = np.minimum(h[..., :-span], h[..., span:])
         span *= 2
-    return np.minimum(h[: len(h) - (n - span)], h[n - span :]) if n > span else h
+    return np.minimum(h[..., : h.shape[-1] - (n - span)], h[..., n - span :]) if n > span else h
 
 
 def segments_of(raw: np.ndarray, offsets: np.ndarray, width: int):
@@ -91,11 +94,21 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, "u1") if data is not None and data.size else np.zeros(0, "u1")), offsets
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``SLICE_BYTES`` of a string or binary column, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def segment_rows(texts: DataFrame, width: int) -> DataFrame:
     """Segments of each text ``(tid, text, copies)``: tid, copies, at, n, key, digest, again."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             raw, offsets = buffers(batch.column(1))
             text, at, n, key, again = segments_of(raw, offsets, width)
             view = memoryview(raw)
@@ -111,11 +124,11 @@ def segment_rows(texts: DataFrame, width: int) -> DataFrame:
 
 
 def fetch(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``wanted`` segments (tid, at, n, key, digest, mark) with their bytes."""
-    lists = wanted.groupBy("tid").agg(F.collect_list(F.struct("at", "n", "key", "mark")).alias("parts"))
+    """``wanted`` segments (tid, at, n, key, mark, again) with their bytes."""
+    lists = wanted.groupBy("tid").agg(F.collect_list(F.struct("at", "n", "key", "mark", "again")).alias("parts"))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             raw, offsets = buffers(batch.column(1))
             lists = batch.column(2)
             parts = lists.flatten()
@@ -125,10 +138,11 @@ def fetch(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             view = memoryview(raw)
             content = pa.array([bytes(view[a:b]) for a, b in zip(start.tolist(), (start + n + width - 1).tolist())], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(text)), parts.field(0), parts.field(2), parts.field(3), content], names=["tid", "at", "key", "mark", "bytes"]
+                [batch.column(0).take(pa.array(text)), *(parts.field(i) for i in (0, 2, 3)), content, parts.field(4)],
+                names=["tid", "at", "key", "mark", "bytes", "again"],
             )
 
-    schema = "tid binary, at int, key bigint, mark boolean, bytes binary"
+    schema = "tid binary, at int, key bigint, mark boolean, bytes binary, again boolean"
     return texts.join(lists, "tid").select("tid", "text", "parts").mapInArrow(take, schema)
 
 
@@ -138,31 +152,70 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
+def possible(rows: list[tuple], width: int) -> Iterator[tuple[int, int, int]]:
+    """(row, first place, last place) of the runs of places that may start a repeated string.
+
+    Places are taken in steps relative to the key's string. All strings of a step hold the same middle bytes; where
+    no other segment has these bytes, none of them is repeated and the suffix array needn't hold them.
+    """
+    row, block, digests = [], [], []
+    for at in range(0, len(rows), 4096):
+        some = rows[at : at + 4096]
+        heads = np.frombuffer(b"".join(r[4][:width] for r in some), "u1").reshape(-1, width)
+        anchors = (window_keys(heads, width)[:, 0] & np.uint64(PLACE)).tolist()
+        for k, (r, q) in enumerate(zip(some, anchors), at):
+            if r[5]:
+                continue
+            places = len(r[4]) - width + 1
+            content = memoryview(r[4])
+            for j in range((q - places + 1) // STEP, q // STEP + 1):
+                core = q - STEP * j
+                row.append(k)
+                block.append(core)
+                digests.append(xxhash.xxh3_64_intdigest(content[core : core - STEP + 1 + width]))
+    _, at, counts = np.unique(np.array(digests, "u8"), return_inverse=True, return_counts=True)
+    keep = counts[at] > 1
+    run = None
+    for k, core in zip(np.array(row)[keep].tolist(), np.array(block)[keep].tolist()):
+        first, last = max(0, core - STEP + 1), min(core, len(rows[k][4]) - width)
+        if run and run[0] == k and first <= run[2] + 1 and last + 1 >= run[1]:
+            run = (k, min(run[1], first), max(run[2], last))
+        else:
+            if run:
+                yield run
+            run = (k, first, last)
+    if run:
+        yield run
+    yield from ((k, 0, len(r[4]) - width) for k, r in enumerate(rows) if r[5])
+
+
 def sorted_repeats(segments: DataFrame, width: int) -> DataFrame:
     """(tid, first, last) places of marked segments that start a repeated string: a suffix array for each shard."""
     schema = "tid binary, first int, last int"
 
     def shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        pieces, starts, ends, size = [], [], [], 0
-        for row in rows:
-            pieces += [row[4], b"\xff"]  # no byte of UTF-8
+        pieces, starts, ends, of, size = [], [], [], [], 0
+        for k, first, last in possible(rows, width):
+            pieces += [rows[k][4][first : last + width], b"\xff"]  # no byte of UTF-8
+            of.append((k, first))
             starts.append(size)
-            size += len(row[4]) + 1
+            size += last - first + width + 1
             ends.append(size - 1)
         t = np.frombuffer(b"".join(pieces), "u1")
-        hit = repeated(t, np.repeat(ends, np.diff(np.append(starts, size))), width)
+        hit = repeated(t, np.repeat(np.array(ends, "i8"), np.diff(np.append(starts, size).astype("i8"))), width)
         tids, firsts, lasts = [], [], []
-        for (tid, at, _, mark, _), a, b in zip(rows, starts, ends):
+        for (k, first), a, b in zip(of, starts, ends):
+            tid, at, _, mark, *_ = rows[k]
             if mark:
                 for x, y in zip(*runs_of(hit[a:b])):
                     tids.append(tid)
-                    firsts.append(at + int(x))
-                    lasts.append(at + int(y))
+                    firsts.append(at + first + int(x))
+                    lasts.append(at + first + int(y))
         yield pa.RecordBatch.from_arrays([pa.array(tids, pa.binary()), pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32())], names=["tid", "first", "last"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, key = [], 0, None
-        for batch in batches:
+        for batch in sliced(batches, 4):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if size > SHARD_BYTES and row[2] != key:
                     yield from shard(rows)
@@ -181,7 +234,7 @@ def counted_repeats(segments: DataFrame, width: int) -> DataFrame:
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
-        for batch in batches:
+        for batch in sliced(batches, 4):
             contents = batch.column(4).to_pylist()
             counts = np.array([len(c) - width + 1 for c in contents], "i8")
             row = np.repeat(np.arange(len(counts)), counts)
@@ -204,7 +257,8 @@ def text_table(docs: DataFrame) -> DataFrame:
     texts = texts.groupBy("tid").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     path = shared_dir(spark, "llm-texts")
     name = path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
-    texts.write.bucketBy(width, "tid").option("path", path).saveAsTable(name)
+    with tidy(spark):
+        texts.write.bucketBy(width, "tid").option("path", path).option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
 
@@ -215,17 +269,19 @@ def tid_of(text):
 def repeated_places(texts: DataFrame, width: int) -> DataFrame:
     """(tid, first, last) runs of places that start a string met elsewhere, in texts that occur once."""
     segments = written(segment_rows(texts.where(F.octet_length("text") >= width), width), "llm-segments")
-    groups = segments.groupBy("key", "digest").agg(
-        F.sum("copies").alias("k"), F.min(F.struct("tid", "at", "n")).alias("one"), F.max("again").alias("again")
-    )
+    groups = segments.groupBy("key", "digest").agg(F.sum("copies").alias("k"), F.max("again").alias("again"))
     groups = written(groups, "llm-segment-groups")
-    several = groups.groupBy("key").agg(F.count("*").alias("different"), F.max((F.col("k") == 1) & F.col("again")).alias("again"), F.min("k").alias("least"))
-    several = several.where("(different > 1 and least = 1) or again").select("key", (F.col("different") > HOT_SEGMENTS).alias("hot"))
-    wanted = groups.join(several, "key").select("one.*", "key", (F.col("k") == 1).alias("mark"), "hot")
+    met_again = F.max((F.col("k") == 1) & F.col("again"))
+    several = groups.groupBy("key").agg(F.count("*").alias("different"), met_again.alias("alone"), F.min("k").alias("least"))
+    several = several.where("(different > 1 and least = 1) or alone").select("key", (F.col("different") > HOT_SEGMENTS).alias("hot"))
+    groups = groups.join(several, "key", "left").where("k > 1 or hot is not null").select("key", "digest", "k", "hot")
+    found = written(segments.join(groups, ["key", "digest"]), "llm-found")
+    one = found.where("hot is not null and k > 1").groupBy("key", "digest").agg(F.min(F.struct("tid", "at", "n", "key", "again", "hot")).alias("one"))
+    wanted = found.where("hot is not null and k = 1").select("tid", "at", "n", "key", "again", "hot", F.lit(True).alias("mark"))
+    wanted = wanted.unionByName(one.select("one.*", F.lit(False).alias("mark")))
     near = fetch(texts, wanted.where("not hot"), width)
     hot = fetch(texts, wanted.where("hot"), width)
-    whole = segments.where("copies = 1").join(groups.where("k > 1").select("key", "digest"), ["key", "digest"], "left_semi")
-    whole = whole.select("tid", F.col("at").alias("first"), (F.col("at") + F.col("n") - 1).alias("last"))
+    whole = found.where("copies = 1 and k > 1").select("tid", F.col("at").alias("first"), (F.col("at") + F.col("n") - 1).alias("last"))
     return whole.unionByName(sorted_repeats(near, width)).unionByName(counted_repeats(hot, width))
 
 
@@ -239,7 +295,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = False
     schema = "tid binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             raw, offsets = buffers(batch.column(1))
             sizes, removed, spans, hashes, kept = [], [], [], [], []
             for row, (copies, runs) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3))):
