@@ -91,7 +91,8 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], "i8")[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
-    return (np.frombuffer(data, "u1") if data is not None and data.size else np.zeros(0, "u1")), offsets
+    raw = np.frombuffer(data, "u1") if data is not None and data.size else np.zeros(0, "u1")
+    return raw[: offsets[-1]], offsets  # of a slice, the buffer holds what follows too
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[pa.RecordBatch]:
