@@ -157,15 +157,17 @@ def possible(rows: list[tuple], width: int) -> Iterator[tuple[int, int, int]]:
     """(row, first place, last place) of the runs of places that may start a repeated string.
 
     Places are taken in steps relative to the key's string. All strings of a step hold the same middle bytes; where
-    no other segment has these bytes, none of them is repeated and the suffix array needn't hold them.
+    no other segment has these bytes, none of them is repeated and the suffix array needn't hold them. Keys with a
+    segment that meets the key's string again are taken whole: there is more than one such place to start from.
     """
+    loose = {r[2] for r in rows if r[5]}
     row, block, digests = [], [], []
     for at in range(0, len(rows), 4096):
         some = rows[at : at + 4096]
         heads = np.frombuffer(b"".join(r[4][:width] for r in some), "u1").reshape(-1, width)
         anchors = (window_keys(heads, width)[:, 0] & np.uint64(PLACE)).tolist()
         for k, (r, q) in enumerate(zip(some, anchors), at):
-            if r[5]:
+            if r[2] in loose:
                 continue
             places = len(r[4]) - width + 1
             content = memoryview(r[4])
@@ -187,7 +189,7 @@ def possible(rows: list[tuple], width: int) -> Iterator[tuple[int, int, int]]:
             run = (k, first, last)
     if run:
         yield run
-    yield from ((k, 0, len(r[4]) - width) for k, r in enumerate(rows) if r[5])
+    yield from ((k, 0, len(r[4]) - width) for k, r in enumerate(rows) if r[2] in loose)
 
 
 def sorted_repeats(segments: DataFrame, width: int) -> DataFrame:
