@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from public_tokenizers import path
+from pyspark.sql import functions as F
 
-from postloom.llm import bpe, packing, quality, repeats, rules, simhash
+from postloom.llm import ann, bpe, packing, quality, repeats, rules, simhash
 from postloom.llm.common import table
 
 BPE = path("byte_bpe_50k.json")
@@ -18,6 +19,10 @@ def op3_simhash(spark, sf_dir):
     return simhash.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), BPE)
 
@@ -34,5 +39,5 @@ def op9_rules(spark, sf_dir):
     return rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op5_packing, op6_repeats, op7_quality, op9_rules)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op9_rules)}
 ORACLE: dict[str, str] = {}
