@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import functions as F
 
-from postloom.llm import ann, bpe, packing, quality, repeats, rules, simhash
+from postloom.llm import ann, bpe, packing, quality, repeats, rules, simhash, urls
 from postloom.llm.common import table
 
 BPE = path("byte_bpe_50k.json")
@@ -39,5 +39,9 @@ def op9_rules(spark, sf_dir):
     return rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op9_rules)}
+def op10_urls(spark, sf_dir):
+    return urls.report(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op9_rules, op10_urls)}
 ORACLE: dict[str, str] = {}
