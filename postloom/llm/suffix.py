@@ -13,27 +13,27 @@ import numpy as np
 CHUNK = 1 << 16
 
 
-def ranks_within(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(how many equal values stand before each, the distinct values, their counts)."""
-    order = np.argsort(c, kind="stable")
+def ranks_within(c: np.ndarray) -> np.ndarray:
+    """How many equal values stand before each."""
+    order = c.argsort(kind="stable")
     s = c[order]
-    starts = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
-    counts = np.diff(np.append(starts, len(s)))
+    at = np.arange(len(c))
+    start = at.copy()
+    start[1:][s[1:] == s[:-1]] = 0
+    np.maximum.accumulate(start, out=start)
+    at -= start
     rank = np.empty(len(c), "i8")
-    rank[order] = np.arange(len(c)) - np.repeat(starts, counts)
-    return rank, s[starts], counts
+    rank[order] = at
+    return rank
 
 
 def induce(t: np.ndarray, smaller: np.ndarray, sums: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """All suffixes in order, given the leftmost-smaller ones in order (equal first letters stay as they come)."""
     n = len(t)
-    sa = np.full(n, -1, "i4")
+    sa = np.full(n, -1, "i8")
     if len(seeds):
         c = t[seeds]
-        rank, letters, counts = ranks_within(c)
-        per = np.zeros(len(sums), "i8")
-        per[letters] = counts
-        sa[sums[c] - per[c] + rank] = seeds
+        sa[sums[c] - np.bincount(c, minlength=len(sums))[c] + ranks_within(c)] = seeds
 
     heads = np.concatenate([[0], sums[:-1]])
     sa[heads[t[n - 1]]] = n - 1  # the end of the text comes before every letter
@@ -41,22 +41,21 @@ def induce(t: np.ndarray, smaller: np.ndarray, sums: np.ndarray, seeds: np.ndarr
     at, size = 0, 256
     while at < n:
         end = min(n, at + size)
-        src = np.flatnonzero(sa[at:end] > 0)
-        j = sa[at:end][src] - 1
-        ok = ~smaller[j]
-        j, src = j[ok], src[ok] + at
-        if len(j):
+        part = sa[at:end]
+        src = (part > 0).nonzero()[0]
+        j = part[src] - 1
+        ok = (~smaller[j]).nonzero()[0]
+        if len(ok):
+            j = j[ok]
             c = t[j]
-            rank, letters, counts = ranks_within(c)
-            to = heads[c] + rank
+            to = heads[c] + ranks_within(c)
             first = int(to.min())
             if first < end:
                 end = first
-                keep = src < end
-                j, to, c = j[keep], to[keep], c[keep]
-                letters, counts = np.unique(c, return_counts=True)
+                k = src[ok].searchsorted(end - at)
+                j, to, c = j[:k], to[:k], c[:k]
             sa[to] = j
-            heads[letters] += counts
+            heads[c] = to + 1  # of equal letters the last counts
         size = min(CHUNK, max(64, 2 * (end - at)))
         at = end
 
@@ -65,22 +64,20 @@ def induce(t: np.ndarray, smaller: np.ndarray, sums: np.ndarray, seeds: np.ndarr
     while at > 0:
         end = max(0, at - size)
         part = sa[end:at][::-1]
-        src = np.flatnonzero(part > 0)
+        src = (part > 0).nonzero()[0]
         j = part[src] - 1
-        ok = smaller[j]
-        j, src = j[ok], at - 1 - src[ok]
-        if len(j):
+        ok = smaller[j].nonzero()[0]
+        if len(ok):
+            j = j[ok]
             c = t[j]
-            rank, letters, counts = ranks_within(c)
-            to = tails[c] - 1 - rank
+            to = tails[c] - 1 - ranks_within(c)
             last = int(to.max())
             if last >= end:
                 end = last + 1
-                keep = src >= end
-                j, to, c = j[keep], to[keep], c[keep]
-                letters, counts = np.unique(c, return_counts=True)
+                k = src[ok].searchsorted(at - end)
+                j, to, c = j[:k], to[:k], c[:k]
             sa[to] = j
-            tails[letters] -= counts
+            tails[c] = to
         size = min(CHUNK, max(64, 2 * (at - end)))
         at = end
     return sa
@@ -90,7 +87,7 @@ def suffix_array(t: np.ndarray, letters: int = 256) -> np.ndarray:
     """Places of the suffixes of ``t`` (values below ``letters``) in order."""
     n = len(t)
     if n < 2:
-        return np.arange(n, dtype="i4")
+        return np.arange(n)
     changes = np.flatnonzero(t[1:] != t[:-1])
     starts = np.concatenate([[0], changes + 1])
     rising = np.append(t[starts[1:]] > t[starts[:-1]], False)
