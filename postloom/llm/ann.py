@@ -28,7 +28,7 @@ from postloom.llm.common import written
 
 BITS = 256
 SUB = 16
-SAMPLE = 16_384
+SAMPLE = 8_192
 SHARD_ROWS = 32_768
 BLOCK_ROWS = 4_096
 SPREAD = 2.0
@@ -54,10 +54,10 @@ class Codes:
                 u, _, w = np.linalg.svd(np.sign(v @ r).T @ v)
                 r = (u @ w).T
             self.rotations.append(r)
-        near = unit[:2048]
+        near = unit[:512]
         cosines = near @ unit.T
         cosines[np.arange(len(near)), np.arange(len(near))] = -2
-        best = np.argsort(-cosines, axis=1)[:, :10]
+        best = np.argpartition(-cosines, min(10, len(unit) - 1), axis=1)[:, :10]
         c = np.take_along_axis(cosines, best, 1).ravel()
         codes = self.of(unit)
         apart = bits_apart(codes[np.repeat(np.arange(len(near)), best.shape[1])], codes[best.ravel()])
@@ -160,11 +160,11 @@ def nearest(vectors: DataFrame, query: Column, k: int = 5, key: str = "vec_id",
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
     n = rows.count()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()
     schema = "query_id bigint, vec_id bigint, score double"
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    shared = spark.sparkContext.broadcast(Codes(np.array(sample["v"].tolist(), "f8")))
+    shared = spark.sparkContext.broadcast(Codes(sample.column("v").combine_chunks().flatten().to_numpy().reshape(sample.num_rows, -1)))
     asked = rows.where(query)
     shards = max(1, -(-n // SHARD_ROWS))
     blocks = max(1, -(-asked.count() // BLOCK_ROWS))
