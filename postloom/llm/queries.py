@@ -5,10 +5,15 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import functions as F
 
-from postloom.llm import ann, bpe, packing, quality, repeats, rules, simhash, urls
+from postloom.llm import ann, bpe, counts, html, packing, quality, repeats, rules, simhash, urls
 from postloom.llm.common import table
 
 BPE = path("byte_bpe_50k.json")
+PIECES = path("piece_bpe_32k.model")
+
+
+def op1_token_counts(spark, sf_dir):
+    return counts.report(table(spark, sf_dir, "documents"), PIECES)
 
 
 def op2_bpe(spark, sf_dir):
@@ -35,6 +40,10 @@ def op7_quality(spark, sf_dir):
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_html(spark, sf_dir):
+    return html.report(table(spark, sf_dir, "pages"))
+
+
 def op9_rules(spark, sf_dir):
     return rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,5 +52,5 @@ def op10_urls(spark, sf_dir):
     return urls.report(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op9_rules, op10_urls)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op8_html, op9_rules, op10_urls)}
 ORACLE: dict[str, str] = {}
