@@ -85,32 +85,36 @@ def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Substring buckets of a shard's codes."""
+    """Buckets of a shard's codes, by each of their substrings; all substrings' buckets stand side by side."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
-        self.orders = [np.argsort(c, kind="stable") for c in codes.T]
-        self.values, self.starts = [], []
-        for order, c in zip(self.orders, codes.T):
-            values, starts = np.unique(c[order], return_index=True)
-            self.values.append(values)
-            self.starts.append(np.append(starts, len(c)))
-
-    def within(self, code: np.ndarray, t: int) -> np.ndarray:
-        """Rows whose codes are within ``SUB * (t + 1) - 1`` bits (by the number of substrings): every one of them."""
-        radius = len(self.orders) * (t + 1) - 1
-        seen = np.zeros(len(self.codes), bool)
-        for s, (order, values, starts) in enumerate(zip(self.orders, self.values, self.starts)):
-            near = np.flatnonzero(np.bitwise_count(values ^ code[s]) <= t)
-            if 2 * len(near) > len(values):  # most buckets: mark them bucket by bucket at once
-                seen[order[np.repeat(np.bitwise_count(values ^ code[s]) <= t, np.diff(starts))]] = True
-            else:
-                for b in near:
-                    seen[order[starts[b] : starts[b + 1]]] = True
-            if seen.all():
-                break
-        rows = np.flatnonzero(seen)
-        return rows[bits_apart(self.codes[rows], code[None, :]) <= radius]
+        self.subs = codes.shape[1]
+        values, sizes, self.rows = [], [], np.argsort(codes, axis=0, kind="stable").T.ravel()
+        for s in range(self.subs):
+            v, n = np.unique(codes[:, s], return_counts=True)
+            values.append(v)
+            sizes.append(n)
+        self.sub = np.repeat(np.arange(self.subs), [len(v) for v in values])
+        self.values, self.sizes = np.concatenate(values), np.concatenate(sizes)
+        self.ends = np.cumsum(self.sizes)
+
+    def probes(self, code: np.ndarray) -> np.ndarray:
+        """How many bits each bucket is away from the code's substring."""
+        return np.bitwise_count(self.values ^ code[self.sub])
+
+    def within(self, code: np.ndarray, t: int, probes: np.ndarray | None = None) -> np.ndarray:
+        """Every row whose code is within ``subs * (t + 1) - 1`` bits: some substring of it is within ``t``."""
+        near = (self.probes(code) if probes is None else probes) <= t
+        hits = near.nonzero()[0]
+        if len(hits) < 64:
+            found = [self.rows[self.ends[b] - self.sizes[b] : self.ends[b]] for b in hits]
+            rows = np.unique(np.concatenate(found)) if found else hits
+        else:
+            seen = np.zeros(len(self.codes), bool)
+            seen[self.rows[np.repeat(near, self.sizes)]] = True
+            rows = seen.nonzero()[0]
+        return rows[bits_apart(self.codes[rows], code[None, :]) <= self.subs * (t + 1) - 1]
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -122,21 +126,23 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
     """The k nearest rows of a shard for each query of a block."""
     codes, wanted = model.of(vectors), model.of(queries)
     index = Index(codes)
-    out = []
-    subs = codes.shape[1]
+    found, scores, counts = [], [], []
     for q in range(len(queries)):
+        probes = index.probes(wanted[q])
         for t in range(SUB + 1):
-            rows = index.within(wanted[q], t)
+            radius = index.subs * (t + 1) - 1
+            rows = index.within(wanted[q], t, probes)
             rows = rows[ids[rows] != query_ids[q]]
-            whole = subs * (t + 1) - 1 >= BITS
-            if len(rows) < k and not whole:
+            if len(rows) < k and radius < BITS:
                 continue
             score = cosines(vectors[rows], np.broadcast_to(queries[q], (len(rows), queries.shape[1])))
             best = np.lexsort((ids[rows], -score))[:k]
-            if whole or model.safe(score[best[-1:]], subs * (t + 1) - 1).all():
+            if radius >= BITS or model.safe(score[best[-1:]], radius).all():
                 break
-        out.append(pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[rows[best]], "score": score[best]}))
-    return pd.concat(out)
+        found.append(ids[rows[best]])
+        scores.append(score[best])
+        counts.append(len(best))
+    return pd.DataFrame({"query_id": np.repeat(query_ids, counts), "vec_id": np.concatenate(found), "score": np.concatenate(scores)})
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
