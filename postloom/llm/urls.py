@@ -7,7 +7,7 @@ the others, by a hash, is left out and sets the threshold: the score (mean diffe
 character) that no more than ``FALSE_REJECTIONS`` of them pass, 0 at least. Urls that a rule decides take no part.
 
 Only counts of different strings of ``ORDER + 1`` characters are joined, so a frequent string is one row; lookups of
-the characters of all urls are salted.
+the characters of all urls are salted, and not by broadcast, as that table grows with the urls.
 
 Defined results: null urls and urls without ``://`` have an empty host and path, fit no rule and are allowed; so is
 every url where no url is rejected by a seed; repeated rows each get their verdict; an empty table gives no rows.
@@ -90,7 +90,7 @@ def scores(texts: DataFrame) -> DataFrame:
     table = written(likelihoods(written(counts, "llm-grams")), "llm-likelihoods")
     salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     parts = parts.withColumn("salt", F.pmod(F.xxhash64("s", F.lit(7)), F.lit(SALTS)).cast("int"))
-    found = parts.join(salted, ["gram", "salt"]).groupBy("s", "seed", "held").agg(F.sum("d").alias("d"))
+    found = parts.join(salted.hint("merge"), ["gram", "salt"]).groupBy("s", "seed", "held").agg(F.sum("d").alias("d"))
     return written(found.select("s", "seed", "held", (F.col("d") / F.length("s")).alias("score")), "llm-url-scores")
 
 
