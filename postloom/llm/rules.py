@@ -158,18 +158,25 @@ def with_verdicts(measured: DataFrame, chosen: DataFrame, stratum: str = "lang")
     return both.select(*(F.col(f"`{c}`") for c in measured.columns), base_failed().alias("base_failed"), kept)
 
 
-def accepted(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with cutoffs certified on the documents of ``labelled``."""
-    known = labelled.select("doc_id", "lang", "text").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    chosen = written(certified(written(counts(known).drop("text"), "llm-counts"), labels), "llm-cutoffs")
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with cutoffs certified on its labelled documents.
+
+    Texts are counted twice, for the cutoffs and for the verdicts, and moved by no shuffle.
+    """
+    chosen = cutoffs(docs, labels)[1]
     (taken,) = fresh(docs, "row")
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(taken), "lang", "text")
-    # Written first: a filter pushed below the counts would split texts once for every word.
-    return with_verdicts(written(counts(whole).drop("text"), "llm-counts"), chosen).where("kept").select(f"{taken}.*")
+    # Asking for the number keeps filters above the counts: below them, texts would be split once for every word.
+    measured = counts(whole).withColumn("number", F.monotonically_increasing_id())
+    return with_verdicts(measured, chosen).where("kept and number >= 0").select(f"{taken}.*")
+
+
+def cutoffs(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The counts of ``docs`` and the certified cutoffs, both written."""
+    measured = written(counts(docs.select("doc_id", "lang", "text")).drop("text"), "llm-counts")
+    return measured, written(certified(measured, labels), "llm-cutoffs")
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, the counts, ``base_failed`` and ``kept``."""
-    measured = written(counts(docs.select("doc_id", "lang", "text")).drop("text"), "llm-counts")
-    chosen = written(certified(measured, labels), "llm-cutoffs")
-    return with_verdicts(measured, chosen).select("doc_id", *COUNTS, "base_failed", "kept")
+    return with_verdicts(*cutoffs(docs, labels)).select("doc_id", *COUNTS, "base_failed", "kept")

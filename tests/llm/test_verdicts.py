@@ -131,7 +131,7 @@ def test_rule_report(spark):
     d, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     got = rules.report(d, labels)
     assert got.count() == d.count() and not got.where("base_failed and kept").count()
-    kept = rules.accepted(d.withColumn("n_words", F.lit("clash")), d, labels)
+    kept = rules.accepted(d.withColumn("n_words", F.lit("clash")), labels)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in got.where("kept").collect())
     assert kept.columns == [*d.columns, "n_words"]
     assert rules.report(d.where("doc_id < 0"), labels).count() == 0
