@@ -142,7 +142,7 @@ def _template_sql() -> str:
         "company": "coalesce(company, '')",
         "location": "coalesce(location, '')",
         "salary_range": "coalesce(nullif(salary_range, ''), 'Not specified')",
-        "description": "coalesce(nullif(substr(description, 1, 4000), ''), 'No description')",
+        "description": "coalesce(nullif(description, ''), 'No description')",
     }
     for name, sql in values.items():
         out = out.replace("{" + name + "}", f"' || {sql} || '")
@@ -236,15 +236,18 @@ ORACLE = {
     + f"""SELECT title AS "Job Title", company AS "Company Name", requirements AS "Requirements", location AS "Location",
       salary_range AS "Salary Range", estimated_annual AS "Estimated Annual Salary", estimated_annual_usd AS "Estimated Annual Salary (USD)",
       company_size AS "Company Size", posted AS "Posted Date", nullif(job_status, 'Active') AS "Job Status", {_PLATFORM} AS "Platform",
-      job_url AS "Job Link" FROM postings""",
+      job_url AS "Job Link", description AS "Job Description" FROM postings""",
     "full_record": _with(_POSTINGS)
     + """SELECT job_id, title, company, location, min_amount, max_amount, currency, "interval", salary_range, estimated_annual,
       estimated_annual_usd, job_url, platform, requirements, company_size, job_status, CAST(NULL AS VARCHAR) AS ai_analysis,
       CAST(NULL AS BOOLEAN) AS ai_analyzed, dedup_key, md5(description) AS description_md5, posted FROM keyed""",
     "record_json": _with(_POSTINGS)
     + """SELECT '{"job_id":"' || job_id || '","title":' || CASE WHEN title IS NULL THEN 'null' ELSE '"' || title || '"' END
-      || ',"company":"' || company || '","currency":' || CASE row_index % 3 WHEN 0 THEN '"EUR"' WHEN 1 THEN '""' ELSE 'null' END
-      || ',"dedup_key":"' || dedup_key || '"}' AS record FROM keyed""",
+      || ',"company":"' || company || '","location":"' || location || '","currency":'
+      || CASE row_index % 3 WHEN 0 THEN '"EUR"' WHEN 1 THEN '""' ELSE 'null' END
+      || ',"interval":' || CASE WHEN row_index % 4 = 0 THEN '"monthly"' ELSE 'null' END
+      || ',"job_url":"' || job_url || '","platform":"' || platform
+      || '","description":' || coalesce(CAST(to_json(description) AS VARCHAR), 'null') || ',"dedup_key":"' || dedup_key || '"}' AS record FROM keyed""",
     "normalised_keys": _with(_POSTINGS) + "SELECT row_index, n_title AS title, dedup_key, xp_key FROM keyed",
     "control_strip": """SELECT doc_id, md5('a' || chr(9) || 'b' || text) AS text_md5,
       CAST(length('a' || chr(9) || 'b' || text) AS INTEGER) AS n_chars, lang || chr(10) || chr(13) AS lang FROM documents""",
@@ -362,7 +365,7 @@ ORACLE = {
     "enrich_rows": _with(_POSTINGS, _PROMPTS, _MODEL)
     + """SELECT source_file, row_index, CAST(CASE WHEN outcome = 'failed' THEN 3 ELSE 1 END AS BIGINT) AS n_attempts, outcome,
       status AS parse_status, usable, CASE WHEN outcome = 'failed' THEN '429 quota exceeded' END AS last_error
-      FROM model WHERE platform = 'indeed'""",
+      FROM model""",
     "generate_with_fallback": _with(_POSTINGS, _PROMPTS, _MODEL)
     + """SELECT source_file, row_index, CASE WHEN n % 26 = 0 THEN NULL WHEN n % 13 = 0 THEN 'fallback ' || n WHEN n % 11 = 0 THEN NULL
         WHEN n % 7 = 0 THEN 'no answer for ' || n WHEN n % 5 = 0 THEN '```json' || chr(10) || js || chr(10) || '```' ELSE js END AS text,

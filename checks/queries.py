@@ -10,7 +10,7 @@ from postloom import runs
 from postloom.functions.attempts import backoff_seconds, error_class, total_tokens
 from postloom.functions.cells import decode_cell, encode_cell
 from postloom.functions.dates import lenient_timestamp, print_date
-from postloom.functions.prompts import prompt_inputs
+from postloom.functions.prompts import DESCRIPTION_CHARS, prompt_inputs
 from postloom.functions.responses import parse_response, with_result_cells
 from postloom.functions.text import (
     batch_of_checkpoint,
@@ -46,7 +46,7 @@ def posting_scan(spark: SparkSession, d: str) -> DataFrame:
     fx.headed(fx.postings(spark, d)).write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
-    rows = src.scan_postings(spark, path, "csv")
+    rows = src.scan_postings(spark, path, "csv", multiline=True)
     return rows.select(
         "title",
         "company",
@@ -224,7 +224,7 @@ def resume_retention(spark: SparkSession, d: str) -> DataFrame:
 def export_projection(spark: SparkSession, d: str) -> DataFrame:
     p = fx.postings(spark, d)
     p = p.withColumn("platform", F.concat(F.col("platform"), F.lit("_via-o'brien 2nd")))
-    return post.export_projection(p).drop("Job Description")
+    return post.export_projection(p)
 
 
 def full_record(spark: SparkSession, d: str) -> DataFrame:
@@ -238,7 +238,7 @@ def full_record(spark: SparkSession, d: str) -> DataFrame:
 
 
 def record_json(spark: SparkSession, d: str) -> DataFrame:
-    p = fx.keyed(spark, d).select("job_id", "title", "company", "currency", "dedup_key")
+    p = fx.keyed(spark, d).select("job_id", "title", "company", "location", "currency", "interval", "job_url", "platform", "description", "dedup_key")
     return post.record_json(p)
 
 
@@ -289,7 +289,7 @@ def name_derivation(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prompt_inputs_query(spark: SparkSession, d: str) -> DataFrame:
-    p = fx.postings(spark, d).select("row_index", *[c.alias(n) for n, c in prompt_inputs().items()])
+    p = fx.postings(spark, d).select("row_index", *[c.alias(n) for n, c in prompt_inputs(DESCRIPTION_CHARS).items()])
     return p.select(
         "row_index", "title", "company", "location", "salary_range",
         F.length("description").alias("n_chars"), F.md5("description").alias("description_md5"),
@@ -474,7 +474,7 @@ def _enriched(spark: SparkSession, d: str, label: str) -> DataFrame:
     folder = shared_dir(spark, label)
     rows = fx.keyed(spark, d)
     runs.enrich_table(
-        rows, answers_by_length(), folder, "all", TEMPLATE, quota=1 << 40, max_failures=1 << 30, call_rows=256
+        rows, answers_by_length(), folder, "all", TEMPLATE, max_failures=1 << 30, call_rows=256
     )
     runs.write_table(rows, folder, "all", f"{folder}/table")
     return spark.read.parquet(f"{folder}/table")
@@ -487,7 +487,7 @@ def enrich_table(spark: SparkSession, d: str) -> DataFrame:
 def enrich_rows(spark: SparkSession, d: str) -> DataFrame:
     """Attempts over an ad-hoc selection, written before they are read."""
     path = shared_dir(spark, "attempts")
-    rows = enrich.with_prompt(fx.postings(spark, d).where("platform = 'indeed'"), TEMPLATE)
+    rows = enrich.with_prompt(fx.postings(spark, d), TEMPLATE)
     enrich.call_model(rows, answers_by_length(), ROW_ID, 256).write.parquet(path)
     results = enrich.results_of(spark.read.parquet(path))
     return results.select(*ROW_ID, "n_attempts", "outcome", "parse_status", "usable", "last_error")
@@ -536,7 +536,7 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     base = shared_dir(spark, "dedup")
     events = _stream(spark, d, "events").withColumn("key", F.concat_ws("|||", "user_id", "event_type"))
-    firsts = streams.dedup(events, ["key"], "ts", "60 days", ["event_id"])
+    firsts = streams.dedup(events, ["key"], "ts", "60 days")
     streams.drain(firsts.select("key"), f"{base}/out", f"{base}/state")
     return spark.read.parquet(f"{base}/out")
 

@@ -23,8 +23,26 @@ DATE_LAYOUTS = (
     ("d MMM yyyy", r"^\d{1,2} [A-Za-z]{3} \d{4}$"),
     ("d MMMM yyyy", r"^\d{1,2} [A-Za-z]{3,9} \d{4}$"),
     ("d-MMM-yyyy", r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"),
+    ("yyyy-M", r"^\d{4}-\d{1,2}$"),
+    ("yyyy/M/d H:mm", r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}$"),
+    ("yyyy/M/d H:mm:ss", r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$"),
+    ("M/d/yyyy h:mm a", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AaPp][Mm]$"),
+    ("M/d/yyyy h:mm:ss a", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$"),
+    ("M/d/yy", r"^\d{1,2}/\d{1,2}/\d{2}$"),
+    ("d.M.yyyy", r"^\d{1,2}\.\d{1,2}\.\d{4}$"),
+    ("MMMM yyyy", r"^[A-Za-z]{3,9} \d{4}$"),
+    ("MMM yyyy", r"^[A-Za-z]{3} \d{4}$"),
+    ("MMM d, yyyy H:mm", r"^[A-Za-z]{3} \d{1,2}, \d{4} \d{1,2}:\d{2}$"),
+    ("MMM d, yyyy H:mm:ss", r"^[A-Za-z]{3} \d{1,2}, \d{4} \d{1,2}:\d{2}:\d{2}$"),
+    ("MMM d, yyyy h:mm a", r"^[A-Za-z]{3} \d{1,2}, \d{4} \d{1,2}:\d{2} [AaPp][Mm]$"),
+    ("MMMM d, yyyy H:mm", r"^[A-Za-z]{3,9} \d{1,2}, \d{4} \d{1,2}:\d{2}$"),
+    ("MMMM d, yyyy h:mm a", r"^[A-Za-z]{3,9} \d{1,2}, \d{4} \d{1,2}:\d{2} [AaPp][Mm]$"),
 )
 
+# Weekday names before a date say nothing that the date doesn't; RFC 1123 dates end in a zone.
+_WEEKDAY = r"^(?i:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?i:day)?,? +"
+_RFC_1123 = r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} (?:GMT|UTC|[+-]\d{4})$"
+
 
 def iso_timestamp(c: Column) -> Column:
     """ISO text -> timestamp, anything else -> NULL.
@@ -38,8 +56,10 @@ def iso_timestamp(c: Column) -> Column:
 
 def lenient_timestamp(c: Column, layouts: tuple[tuple[str, str], ...] = DATE_LAYOUTS) -> Column:
     """First layout that fits, else NULL. ISO is tried first."""
-    t = strip_ws(c)
+    t = F.regexp_replace(strip_ws(c), _WEEKDAY, "")
+    zoned = F.regexp_replace(t, " (?:GMT|UTC)$", " +0000")
     tries = [F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(layout))) for layout, shape in layouts]
+    tries.append(F.when(t.rlike(_RFC_1123), F.try_to_timestamp(zoned, F.lit("d MMM yyyy HH:mm:ss xx"))))
     return F.coalesce(iso_timestamp(c), *tries)
 
 

@@ -55,9 +55,11 @@ def with_ai_columns(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in AI_COLUMNS if c not in df.columns})
 
 
-def enriched_already():
-    """True where any result column is non-empty."""
+def enriched_already(analysed: str | None = None):
+    """True where a row is marked as analysed or any result column is non-empty."""
     cond = F.lit(False)
+    if analysed is not None:
+        cond = F.coalesce(F.col(analysed), F.lit(False))
     for c in AI_COLUMNS:
         cond = cond | (F.coalesce(F.trim(F.col(c)), F.lit("")) != "")
     return cond

@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postloom.session import shuffle_width
 
-# A key is hot from this share of all rows on, so there are at most 1/share hot
-# keys; that is the proven bound for the broadcasts below. Keys with fewer rows
-# than HOT_ROWS are left alone however small the table is.
-HOT_SHARE = 0.0001
-HOT_ROWS = 1_000_000
+# A key is hot from this part of one fair partition on, so there are at most
+# partitions / HOT_PART hot keys, sent as 8-byte hashes: the proven bound for the
+# broadcasts below. The size of the table plays no part.
+HOT_PART = 0.25
 
 
 def _present(keys: Sequence[str]) -> Column:
@@ -22,20 +21,21 @@ def _present(keys: Sequence[str]) -> Column:
     return cond
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = None, min_rows: int | None = None) -> DataFrame:
-    """The at most ``1/share`` key values holding ``share`` of the rows each, and into how many places to split them.
+def hot_keys(df: DataFrame, keys: Sequence[str], part: float | None = None) -> DataFrame:
+    """Hashes ``_hot`` of the keys that hold ``part`` of a fair partition's rows each, and into how many places to split them.
 
     Reads the key columns only; counts are combined before the shuffle. A key
     gets twice its share of the shuffle partitions, so all hot keys together get
-    at most two places per partition, plus two each.
+    at most two places per partition, plus two each. Keys of one hash are split
+    alike, which changes no result.
     """
-    share, min_rows = share or HOT_SHARE, HOT_ROWS if min_rows is None else min_rows
     width = shuffle_width(df.sparkSession)
-    counts = df.where(_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hashed = df.where(_present(keys)).select(F.xxhash64(*keys).alias("_hot"))
+    counts = hashed.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     fair = F.ceil(F.col("_n") * width / total) * 2
-    return counts.where((F.col("_n") >= min_rows) & (F.col("_n") >= total * share)).select(
-        *keys, F.least(F.lit(width), F.greatest(F.lit(2), fair)).cast("int").alias("_fan")
+    return counts.where(F.col("_n") * width >= total * (part or HOT_PART)).select(
+        "_hot", F.least(F.lit(width), F.greatest(F.lit(2), fair)).cast("int").alias("_fan")
     )
 
 
@@ -45,8 +45,7 @@ def lookup(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    share: float | None = None,
-    min_rows: int | None = None,
+    part: float | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which holds each key once, without a hot task.
 
@@ -57,11 +56,12 @@ def lookup(
     """
     keys = list(keys)
     width = shuffle_width(left.sparkSession)
-    hot = F.broadcast(hot_keys(left, keys, share, min_rows))
+    hot = F.broadcast(hot_keys(left, keys, part))
+    hashed = F.when(_present(keys), F.xxhash64(*keys)).alias("_hot")
     fan = F.when(_present(keys), F.coalesce(F.col("_fan"), F.lit(1))).otherwise(F.lit(width))
     place = F.when(fan == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), fan).cast("int"))
-    spread = left.join(hot, keys, "left").withColumn("_place", place).drop("_fan")
-    copies = right.join(hot, keys, "left").withColumn(
+    spread = left.select("*", hashed).join(hot, "_hot", "left").withColumn("_place", place).drop("_fan", "_hot")
+    copies = right.select("*", hashed).join(hot, "_hot", "left").withColumn(
         "_place", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1))
-    ).drop("_fan")
+    ).drop("_fan", "_hot")
     return spread.join(copies, [*keys, "_place"], how).drop("_place")

@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting falls back to a temporary
-    folder; on a cluster a machine-local folder would not outlive an executor.
-    """
+    """A new folder under ``spark.checkpoint.dir``, which the session must name: a folder every executor can reach."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="postloom-")
+        raise ValueError("set spark.checkpoint.dir, when the session is built, to a folder every executor can reach")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from postloom.functions.dates import iso_timestamp, lenient_timestamp
 from postloom.functions.text import is_source_file, result_file
@@ -39,7 +41,26 @@ RECORD_SCHEMA = T.StructType(
 )
 
 
-def number_text_rows(df: DataFrame) -> DataFrame:
+def file_identity(paths: Sequence[str]) -> Column:
+    """A scanned file's path below what all ``paths`` have in common: unlike a bare name, it is one file's only.
+
+    A path that is not found in the file's (a pattern, say) leaves the whole path.
+    """
+    parts = [p.rstrip("/").removeprefix("file://").split("/") for p in paths]
+    if len(parts) > 1:
+        parts = [p[:-1] for p in parts]
+    common = []
+    for level in zip(*parts):
+        if len(set(level)) > 1:
+            break
+        common.append(level[0])
+    root, path = "/".join(common), F.col("_metadata.file_path")
+    at = F.instr(path, root)
+    below = F.ltrim(F.substr(path, at + F.lit(len(root))), F.lit("/"))
+    return F.when(at == 0, path).when(below == "", F.col("_metadata.file_name")).otherwise(below)
+
+
+def number_text_rows(df: DataFrame, identity: Column | None = None) -> DataFrame:
     """Add ``source_file`` and the 0-based ``row_index`` in it to a scan of text files.
 
     Text formats have no row number. Within a task ids rise in reading order, so
@@ -51,7 +72,7 @@ def number_text_rows(df: DataFrame) -> DataFrame:
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias("source_file"),
+        (F.col("_metadata.file_name") if identity is None else identity).alias("source_file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_id"),
     )
@@ -88,28 +109,41 @@ def to_postings(df: DataFrame) -> DataFrame:
 
 
 def scan_postings(
-    spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet", multiline: bool = True
+    spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet", multiline: bool = False
 ) -> DataFrame:
     """Posting rows of headed Parquet, CSV or JSON-lines tables.
 
     With ``multiline``, CSV cells may hold line breaks, and each CSV file is one
     split; without it, or as JSON lines, large files are split. Parquet is the
     format to keep tables in: the row number comes with the scan, and columns and
-    filters are pushed down.
+    filters are pushed down. In all formats columns go by name, file by file.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    identity = file_identity(paths)
     if fmt == "parquet":
-        raw = spark.read.parquet(*paths)
-        return to_postings(
-            raw.select("*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.row_index").alias("row_index"))
-        )
+        raw = spark.read.option("mergeSchema", True).parquet(*paths)
+        return to_postings(raw.select("*", identity.alias("source_file"), F.col("_metadata.row_index").alias("row_index")))
     if fmt == "csv":
-        raw = spark.read.options(header=True, multiLine=multiline, escape='"').csv(paths)
-    elif fmt == "json":
-        raw = spark.read.schema(_TEXT_HEADINGS).json(paths)
-    else:
-        raise ValueError(f"unsupported format {fmt}")
-    return to_postings(number_text_rows(raw))
+        reader = spark.read.options(header=True, multiLine=multiline, escape='"')
+        parts = [to_postings(number_text_rows(reader.csv(files), identity)) for files in files_by_header(spark, paths)]
+        return reduce(DataFrame.unionByName, parts)
+    if fmt == "json":
+        return to_postings(number_text_rows(spark.read.schema(_TEXT_HEADINGS).json(paths), identity))
+    raise ValueError(f"unsupported format {fmt}")
+
+
+def files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The CSV files of ``paths``, those with one header line together; the paths themselves if all have one.
+
+    One line of each file is compared, and the files are named on the driver, as for any scan.
+    """
+    lines = spark.read.text(paths).where(F.col("_metadata.file_block_start") == 0)
+    first = lines.select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("id"))
+    headers = first.groupBy("path").agg(F.min_by("value", "id").alias("header"))
+    if headers.select("header").distinct().limit(2).count() < 2:
+        return [paths]
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("files")).orderBy("header")
+    return [[unquote(f) for f in r.files] for r in groups.collect()]
 
 
 def pending_files(spark: SparkSession, folder: str, suffix: str, finished: DataFrame | None = None) -> DataFrame:
@@ -155,8 +189,8 @@ def pending_sources(df: DataFrame, finished: DataFrame, row_id: Sequence[str] =
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw scraper records, one JSON document per line."""
-    return spark.read.schema(RAW_SCHEMA).json(path)
+    """Raw scraper records, one JSON document per line, with their row ids."""
+    return number_text_rows(spark.read.schema(RAW_SCHEMA).json(path), file_identity([path]))
 
 
 def from_raw(df: DataFrame, platform: str = "indeed") -> DataFrame:
@@ -164,12 +198,13 @@ def from_raw(df: DataFrame, platform: str = "indeed") -> DataFrame:
     named = df.withColumnsRenamed({"id": "job_id"}).withColumns(
         {"posted_date": lenient_timestamp(F.col("date_posted")), "platform": F.lit(platform)}
     )
-    return with_defaults(with_missing(named.drop("date_posted"))).select(*POSTING_SCHEMA.fieldNames())
+    ids = [c for c in ROW_ID if c in df.columns]
+    return with_defaults(with_missing(named.drop("date_posted"))).select(*ids, *POSTING_SCHEMA.fieldNames())
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Stored posting records, one JSON document per line; unknown keys are ignored."""
-    return rehydrate(spark.read.schema(RECORD_SCHEMA).json(path))
+    return rehydrate(number_text_rows(spark.read.schema(RECORD_SCHEMA).json(path), file_identity([path])))
 
 
 def rehydrate(df: DataFrame) -> DataFrame:
@@ -183,4 +218,4 @@ def rehydrate(df: DataFrame) -> DataFrame:
     return rows.withColumns(
         {c: F.coalesce(F.col(c), F.lit("")) for c in texts}
         | {"ai_analyzed": F.coalesce(F.col("ai_analyzed"), F.lit(False))}
-    ).select(*POSTING_SCHEMA.fieldNames())
+    ).select(*[c for c in ROW_ID if c in df.columns], *POSTING_SCHEMA.fieldNames())

@@ -13,15 +13,21 @@ from postloom.operators.enrich import CALL_ROWS, ModelFn, call_model, results_of
 from postloom.operators.pending import done_keys, pending_rows, row_key
 from postloom.operators.postings import with_ai_columns
 from postloom.schema import ROW_ID
-from postloom.session import shuffle_width
+from postloom.sources.postings import file_identity
 from postloom.sources.resume import read_processed
 from postloom.sources.sinks import commit
 
 
 def ingest(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Stream of the rows of every input file of a folder, each file once per checkpoint."""
+    """Stream of the rows of every input file of a folder, each file once per checkpoint.
+
+    ``source_file`` is the file's path in the folder; Parquet rows have their ``row_index`` too.
+    """
     rows = spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
-    named = rows.select("*", F.col("_metadata.file_name").alias("source_file"))
+    ids = [file_identity([folder]).alias("source_file")]
+    if fmt == "parquet" and "row_index" not in schema.fieldNames():
+        ids.append(F.col("_metadata.row_index").alias("row_index"))
+    named = rows.select("*", *ids)
     return named.where(is_source_file(F.col("source_file")))
 
 
@@ -37,21 +43,15 @@ def drain(df: DataFrame, path: str, state: str) -> StreamingQuery:
     return query
 
 
-def dedup(df: DataFrame, key: Sequence[str], event_time: str, delay: str, spread_by: Sequence[str]) -> DataFrame:
+def dedup(df: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """First arrival per key; state is bounded by the watermark, outside of which a repeat passes.
 
-    A key with most of the rows would otherwise meet in one task, so rows are
-    first reduced per (key, place), then per key.
+    There is one state, by key alone: a second one by (key, place) in front of it
+    would outlive it and drop rows that this one lets pass. A common key's rows of
+    a micro-batch therefore meet in one task; ``maxFilesPerTrigger`` bounds them.
     """
-    places = F.pmod(F.xxhash64(*spread_by), F.lit(shuffle_width(df.sparkSession)))
-    return (
-        df.withColumn(event_time, F.col(event_time).cast("timestamp"))
-        .withWatermark(event_time, delay)
-        .withColumn("_place", places)
-        .dropDuplicatesWithinWatermark([*key, "_place"])
-        .dropDuplicatesWithinWatermark(list(key))
-        .drop("_place")
-    )
+    timed = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def daily_usage(df: DataFrame, at: str, by: Sequence[str] = (), delay: str = "1 day") -> DataFrame:

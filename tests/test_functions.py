@@ -92,9 +92,11 @@ def prompt_rows(spark, descriptions):
 def test_prompt_inputs(spark):
     lengths = [0, 3999, 4000, 4001]
     rows = prompt_rows(spark, ["é" * n for n in lengths] + ["😀" * 4001, None])
-    out = rows.select("i", *[c.alias(n) for n, c in prompts.prompt_inputs().items()]).orderBy("i").collect()
+    out = rows.select("i", *[c.alias(n) for n, c in prompts.prompt_inputs(4000).items()]).orderBy("i").collect()
     assert [r.description for r in out] == ["No description", "é" * 3999, "é" * 4000, "é" * 4000, "😀" * 4000, "No description"]
     assert {r.salary_range for r in out} == {"Not specified"}
+    whole = rows.select(F.length(prompts.prompt_inputs()["description"])).collect()
+    assert sorted(r[0] for r in whole) == [14, 14, 3999, 4000, 4001, 4001]
 
 
 def test_render(spark):
@@ -138,42 +140,54 @@ def test_strict_json(spark):
     assert column(spark, JSON_TEXTS, responses.is_strict_json) == [strict(t) for t in JSON_TEXTS]
 
 
-RESPONSES = [
-    '{"job_category": "Other"}', "  \n{\"a\": 1} ", "pre ```json\n{\"a\": 1}\n``` post", "```\n{\"a\": [1]}\n```", "see {\"a\": 1} ok",
-    '{"a":1} {"b":2}', "```json\nbad\n``` then {\"a\": 2}", "```json {\"a\": 1", "no json", "", None, "   ", "{}", "[]", "[1, 2]", "0", "null",
-    "```json\n[1]\n```", "```json\n```", "{'a': 1}", "```json\nx{1}\n```\n```\n{\"z\": 1}\n```", "``` ```json {\"q\":1}```", "```json{\"k\":\"```\"}```",
+# text of an answer, how it is read, and what is read from it
+ANSWERS = [
+    ('{"job_category": "Other"}', "direct", {"job_category": "Other"}),
+    ('  \n{"a": 1} ', "direct", {"a": 1}),
+    ('pre ```json\n{"a": 1}\n``` post', "json_block", {"a": 1}),
+    ('```\n{"a": [1]}\n```', "block", {"a": [1]}),
+    ('see {"a": 1} ok', "braces", {"a": 1}),
+    ('{"a":1} {"b":2}', "raw", '{"a":1} {"b":2}'),
+    ('```json\nbad\n``` then {"a": 2}', "braces", {"a": 2}),
+    ('```json {"a": 1', "raw", '```json {"a": 1'),
+    ("no json", "raw", "no json"),
+    ("", "empty", None),
+    (None, "empty", None),
+    ("   ", "raw", ""),
+    ("{}", "empty_object", None),
+    ("[]", "not_object", None),
+    ("[1, 2]", "not_object", None),
+    ("0", "not_object", None),
+    ("null", "not_object", None),
+    ("```json\n[1]\n```", "not_object", None),
+    ("```json\n```", "raw", "```json\n```"),
+    ("{'a': 1}", "raw", "{'a': 1}"),
+    ('```json\nx{1}\n```\n```\n{"z": 1}\n```', "raw", '```json\nx{1}\n```\n```\n{"z": 1}\n```'),
+    ('``` ```json {"q":1}```', "json_block", {"q": 1}),
+    ('```json{"k":"```"}```', "braces", {"k": "```"}),
 ]
 
 
-def ladder(t):
-    """The expected (status, value) of a text, by plain regular expressions."""
-    if not t:
-        return "empty", None
-    t = t.strip()
-    tries = [("direct", t)]
-    for name, pattern, group in (
-        ("json_block", r"```json\s*([\s\S]*?)\s*```", 1), ("block", r"```\s*([\s\S]*?)\s*```", 1), ("braces", r"\{[\s\S]*\}", 0)
-    ):
-        m = re.search(pattern, t)
-        if m:
-            tries.append((name, m.group(group)))
-    for name, c in tries:
-        if strict(c):
-            value = json.loads(c)
-            if not isinstance(value, dict):
-                return "not_object", None
-            return ("empty_object", None) if not value else (name, value)
-    return "raw", t
-
-
-def test_ladder(spark):
-    rows = spark.createDataFrame(list(enumerate(RESPONSES)), "i int, response_text string")
+def test_answers(spark):
+    rows = spark.createDataFrame([(i, text) for i, (text, _, _) in enumerate(ANSWERS)], "i int, response_text string")
     out = responses.parse_response(rows).orderBy("i").collect()
-    got = [
-        (r.parse_status, json.loads(r.result_json) if r.result_json is not None else r.raw_response) for r in out
-    ]
-    assert got == [ladder(t) for t in RESPONSES]
-    assert [r.usable for r in out] == [s not in ("empty", "not_object", "empty_object") for s, _ in got]
+    for r, (_, status, value) in zip(out, ANSWERS):
+        assert (r.parse_status, json.loads(r.result_json) if r.result_json is not None else r.raw_response) == (status, value)
+        assert r.usable == (status not in ("empty", "not_object", "empty_object"))
+
+
+DATES = {
+    "1/5/2024 3:04 PM": "2024-01-05 15:04:00", "Jan 5, 2024 10:00": "2024-01-05 10:00:00", "2024-01": "2024-01-01 00:00:00",
+    "2024/01/05 10:00": "2024-01-05 10:00:00", "05.01.2024": "2024-01-05 00:00:00", "January 2024": "2024-01-01 00:00:00",
+    "Fri, 05 Jan 2024 10:00:00 GMT": "2024-01-05 10:00:00", "Fri, 05 Jan 2024 10:00:00 +0200": "2024-01-05 08:00:00",
+    "Friday, January 5, 2024": "2024-01-05 00:00:00", "1/5/24": "2024-01-05 00:00:00", "Jan 2024": "2024-01-01 00:00:00",
+    "January 5, 2024 3:04 PM": "2024-01-05 15:04:00", "monday": None, "32.01.2024": None, "12:30": None,
+}
+
+
+def test_more_date_layouts(spark):
+    got = column(spark, list(DATES), lambda c: F.date_format(dates.lenient_timestamp(c), "yyyy-MM-dd HH:mm:ss"))
+    assert dict(zip(DATES, got)) == DATES
 
 
 def test_result_cells(spark):

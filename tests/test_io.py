@@ -6,9 +6,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from postloom import runs
 from postloom.functions.text import with_keys
 from postloom.operators.pending import done_keys
-from postloom.schema import HEADINGS, POSTING_SCHEMA
+from postloom.schema import ROW_ID, HEADINGS, POSTING_SCHEMA
 from postloom.session import shared_dir
 from postloom.sources import postings as src
 from postloom.sources import resume, sinks, templates
@@ -33,7 +34,7 @@ def test_scan(spark, fmt):
     path = shared_dir(spark, "scan")
     out = headed(spark, 40).repartition(3).write
     (out.options(**OPTIONS) if fmt == "csv" else out).format(fmt).save(path)
-    rows = src.scan_postings(spark, path, fmt).collect()
+    rows = src.scan_postings(spark, path, fmt, multiline=True).collect()
     assert len(rows) == 40
     per_file = {}
     for r in rows:
@@ -46,6 +47,54 @@ def test_scan(spark, fmt):
     assert all(sorted(v) == list(range(len(v))) for v in per_file.values())
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_columns_go_by_name_in_each_file(spark, fmt):
+    path = shared_dir(spark, "headers")
+    headers = [["Job Title", "Company Name"], ["Company Name", "Job Title", "AI_job_category"], ["AI_remote_policy", "Job Title"]]
+    for k, names in enumerate(headers):
+        rows = spark.createDataFrame([tuple(f"{n} {k}" for n in names)], ", ".join(f"`{n}` string" for n in names)).coalesce(1)
+        (rows.write.options(header=True) if fmt == "csv" else rows.write).mode("append").format(fmt).save(path)
+    got = sorted((r.title, r.company, r.AI_job_category, r.AI_remote_policy) for r in src.scan_postings(spark, path, fmt).collect())
+    assert got == [
+        ("Job Title 0", "Company Name 0", None, None),
+        ("Job Title 1", "Company Name 1", "AI_job_category 1", None),
+        ("Job Title 2", None, None, "AI_remote_policy 2"),
+    ]
+
+
+def test_files_of_one_name_keep_apart(spark):
+    """A partitioned table is scanned, enriched and written back; two inputs with one stem both stay."""
+    path, work = shared_dir(spark, "partitioned"), shared_dir(spark, "work")
+    rows = spark.createDataFrame([(f"t{i}", "ab"[i % 2]) for i in range(8)], "`Job Title` string, country string")
+    rows.coalesce(1).write.partitionBy("country").parquet(path)
+
+    def echo(prompts):
+        return [{"text": json.dumps({"job_category": p}), "input_tokens": 1, "output_tokens": 1} for p in prompts]
+
+    scan = src.scan_postings(spark, path)
+    ids = [tuple(r) for r in scan.select("source_file", "row_index").collect()]
+    assert len(set(ids)) == 8 and {i.split("/")[0] for i, _ in ids} == {"country=a", "country=b"}
+    scan = scan.withColumn("job_id", F.concat_ws("#", *ROW_ID))  # positions are ids within one file only
+    report = runs.enrich_table(scan, echo, work, "all", "{title}")
+    assert (report.processed, report.stop_reason) == (8, "complete")
+    runs.write_table(scan, work, "all", f"{work}/table")
+    assert sorted((r.title, r.AI_job_category) for r in spark.read.parquet(f"{work}/table").collect()) == [(f"t{i}", f"t{i}") for i in range(8)]
+    twins = spark.createDataFrame([("in/jobs.csv", 0), ("in/jobs.json", 0), ("other/jobs.csv", 0)], "source_file string, row_index long")
+    sinks.write_enriched(twins.where("source_file <> 'in/jobs.json'"), f"{work}/twins")
+    sinks.write_enriched(twins.where("source_file = 'in/jobs.json'"), f"{work}/twins")
+    assert sorted(r.source_file for r in spark.read.parquet(f"{work}/twins").collect()) == ["in/jobs.csv", "in/jobs.json", "other/jobs.csv"]
+
+
+def test_raw_and_stored_records_can_be_enriched(spark):
+    path, work = shared_dir(spark, "raw-in"), shared_dir(spark, "raw-work")
+    spark.createDataFrame([('{"title": "a", "company": "c"}',), ('{"title": "b", "company": "c"}',), ('{"title": "a", "company": "c"}',)], "value string").coalesce(1).write.text(f"{path}/raw")
+    spark.createDataFrame([('{"job_id": "1", "title": "a", "ai_analyzed": true}',), ('{"job_id": "2", "title": "b"}',)], "value string").coalesce(1).write.text(f"{path}/stored")
+    count = lambda prompts: [{"text": '{"job_category": "x"}', "input_tokens": 1, "output_tokens": 1} for _ in prompts]
+    # Of two rows with one key and no id the second is not sent; a row marked as analysed neither.
+    assert runs.enrich_table(src.from_raw(src.read_raw(spark, f"{path}/raw")), count, work, "raw", "{title}").processed == 2
+    assert runs.enrich_table(src.read_records(spark, f"{path}/stored"), count, work, "stored", "{title}").processed == 1
+
+
 def test_row_numbers_across_splits(spark):
     path = shared_dir(spark, "splits")
     spark.createDataFrame([(f"Title {i:05d}",) for i in range(5000)], "`Job Title` string").coalesce(1).write.json(path)
@@ -96,7 +145,7 @@ def test_records(spark):
     one, two = sorted(src.read_records(spark, path).collect(), key=lambda r: r.job_id, reverse=True)
     assert (str(one.posted_date), json.loads(one.ai_analysis), one.ai_analyzed) == ("2024-02-03 04:05:06", {"a": [1]}, True)
     assert (two.job_id, two.posted_date, two.ai_analyzed, two.job_status, two.title) == ("", None, False, "Active", "")
-    assert two.asDict().keys() == set(POSTING_SCHEMA.fieldNames())
+    assert two.asDict().keys() == {*POSTING_SCHEMA.fieldNames(), "source_file", "row_index"}
 
 
 def test_templates(spark):
@@ -137,7 +186,8 @@ def test_write_replaces_only_its_sources(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     # One source, written by several tasks.
-    assert len([f for f in os.listdir(f"{path}/source_stem=a") if f.endswith(".parquet")]) > 1
+    (folder,) = [f for f in os.listdir(path) if f.startswith("source_id=a-")]
+    assert len([f for f in os.listdir(f"{path}/{folder}") if f.endswith(".parquet")]) > 1
     sinks.write_enriched(df.where("source_file = 'b.csv'").withColumn("t", F.lit("new")), path)
     got = {(r.source_stem, r.row_index): r.t for r in spark.read.parquet(path).collect()}
     assert got == {**{("a", i): "xy" for i in range(10)}, ("b", 0): "new"}
@@ -195,7 +245,7 @@ def test_stream_dedup_across_batches(spark):
         df = spark.createDataFrame(rows, "id long, k string, at string").withColumn("at", F.col("at").cast("timestamp"))
         df.coalesce(2).write.mode("append").parquet(f"{base}/in")
         stream = spark.readStream.schema(schema).parquet(f"{base}/in")
-        streams.drain(streams.dedup(stream, ["k"], "at", "1 hour", ["id"]), f"{base}/out", f"{base}/state")
+        streams.drain(streams.dedup(stream, ["k"], "at", "1 hour"), f"{base}/out", f"{base}/state")
         return sorted(r.k for r in spark.read.parquet(f"{base}/out").collect())
 
     assert pull([(i, "hot", "2024-01-01 00:00:00") for i in range(50)] + [(99, "a", "2024-01-01 00:10:00")]) == ["a", "hot"]

@@ -15,7 +15,7 @@ from postloom.schema import AI_COLUMNS
 @pytest.fixture(autouse=True)
 def small_hot_keys(monkeypatch):
     """Let the hot-key path run on small tables."""
-    monkeypatch.setattr(spread, "HOT_ROWS", 5)
+    monkeypatch.setattr(spread, "HOT_PART", 0.01)
 
 
 def skewed(seed, n=300):
@@ -27,17 +27,19 @@ def skewed(seed, n=300):
 
 def test_hot_keys(spark):
     df = spark.createDataFrame(skewed(1), "i long, k string, f boolean")
-    assert [r.k for r in hot_keys(df, ["k"], 0.2, 1).collect()] == ["hot"]
-    assert hot_keys(df, ["k"], 0.01, 1).count() <= 100
-    assert hot_keys(df, ["k"], min_rows=10_000).count() == 0
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(df, ["k"], 0.2 * width).collect()
+    assert [r._hot for r in hot] == [spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]]
+    assert hot_keys(df, ["k"], 0.01 * width).count() <= 100
+    assert hot_keys(df, ["k"], 2.0 * width).count() == 0
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("share", [0.0001, 0.01, 0.2, 2.0])
-def test_lookup_is_a_join(spark, how, share):
+@pytest.mark.parametrize("part", [0.0004, 0.04, 0.8, 8.0])
+def test_lookup_is_a_join(spark, how, part):
     left = spark.createDataFrame(skewed(2), "i long, k string, f boolean")
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("absent", 4), (None, 5)], "k string, v int")
-    got = lookup(left, right, ["k"], ["i"], how, share, 1)
+    got = lookup(left, right, ["k"], ["i"], how, part)
     want = left.join(right, "k", how)
     assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
 
@@ -49,7 +51,7 @@ def test_lookup_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        parts = lookup(left, right, ["k"], ["i"], min_rows=1).groupBy(F.spark_partition_id()).count().collect()
+        parts = lookup(left, right, ["k"], ["i"]).groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
