@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from postloom.llm.common import file_bytes, fresh, text_or_empty
+from postloom.llm.common import file_bytes, fresh, small_batches, text_or_empty
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE_BYTES = 128 << 20
@@ -170,6 +170,7 @@ def codec(shared) -> Codec:
 
 
 def shared_vocabulary(spark, path: str):
+    small_batches(spark)
     return spark.sparkContext.broadcast(file_bytes(path))
 
 

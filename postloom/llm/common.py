@@ -12,12 +12,18 @@ from postloom.session import shared_dir
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_VOCABULARY_BYTES = 64 << 20
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches that stay small when each row holds a whole text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 @contextmanager
 def tidy(spark: SparkSession):
     """Queries that end within it leave no shuffle files behind."""

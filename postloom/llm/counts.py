@@ -23,7 +23,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from postloom.llm.common import file_bytes, text_or_empty
+from postloom.llm.common import file_bytes, small_batches, text_or_empty
 
 MARK = "▁"  # stands for a space
 UNKNOWN_COST = 10.0
@@ -127,6 +127,7 @@ def counter(content: bytes) -> Counter:
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
     """``docs`` with the number of tokens of ``text`` under the unigram vocabulary in ``path``."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(path))
 
     @F.arrow_udf("bigint")

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from postloom.llm.common import text_or_empty
+from postloom.llm.common import small_batches, text_or_empty
 from postloom.llm.gbt import Trees, fit
 
 TRAIN_PAGES = 200
@@ -329,12 +329,17 @@ def texts_of(htmls: list[str], trees: Trees) -> list[str]:
 
 
 def train(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> Trees:
+    """Trees from a bounded sample; only the ids of candidates, not their pages, are ranked."""
     rows = pages.select("page_id", "html").where(F.col("html").isNotNull() & (F.length("html") < 1 << 17))
-    return learn([r.html for r in rows.orderBy(F.xxhash64("page_id"), "page_id", F.md5("html")).limit(train_pages).collect()])
+    ids = rows.select("page_id").distinct().where(F.col("page_id").isNotNull())
+    ids = [r.page_id for r in ids.orderBy(F.xxhash64("page_id"), "page_id").limit(train_pages).collect()]
+    found = {r.page_id: r.html for r in rows.where(F.col("page_id").isin(ids)).groupBy("page_id").agg(F.min("html").alias("html")).collect()}
+    return learn([found[i] for i in ids])
 
 
 def extract(pages: DataFrame, trees: Trees, html: str = "html", out: str = "main_text") -> DataFrame:
     """``pages`` with the main text of ``html``."""
+    small_batches(pages.sparkSession)
 
     @F.arrow_udf("string")
     def of(column: pa.Array) -> pa.Array:

@@ -33,15 +33,17 @@ class Tokenizer:
     """Ids of whole texts by the merges of a ``tokenizers`` JSON file (its ids ascend in merge order)."""
 
     def __init__(self, content: bytes):
-        self.codec = Codec(content)
-        added = {t: int(np.frombuffer(i, "<u4")[0]) for t, i in self.codec.added.items()}
-        ranks = {b: i for i, b in self.codec.bytes_of.items() if i not in added.values()}
+        self.content, self.codec = content, None
+        codec = Codec(content)
+        added = {t: int(np.frombuffer(i, "<u4")[0]) for t, i in codec.added.items()}
+        ranks = {b: i for i, b in codec.bytes_of.items() if i not in added.values()}
         self.quick = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     def __call__(self, text: str) -> np.ndarray:
         try:
             return self.quick.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
         except Exception:  # its regular expressions give up on some very long runs of white space
+            self.codec = self.codec or Codec(self.content)
             return np.frombuffer(self.codec.encode(text), "<u4")
 
 

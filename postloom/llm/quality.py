@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postloom.llm.common import fresh, text_or_empty
+from postloom.llm.common import fresh, small_batches, text_or_empty
 from postloom.llm.gbt import Trees, fit
 
 TRAIN_ROWS = 20_000
@@ -73,6 +73,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS) -> Trees:
     """Trees for ``label`` from at most ``train_rows`` labelled documents outside the held-out fold."""
+    small_batches(docs.sparkSession)
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     usable = usable.groupBy("doc_id").agg(F.min(label).alias("y"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).toDF("label_id", "y")
@@ -90,6 +91,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows
 
 def score(docs: DataFrame, trees: Trees, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1."""
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:

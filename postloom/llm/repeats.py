@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from postloom.llm.common import fresh, text_or_empty, tidy, written
+from postloom.llm.common import fresh, small_batches, text_or_empty, tidy, written
 from postloom.llm.suffix import repeated
 from postloom.session import shared_dir
 
@@ -37,7 +37,7 @@ WIDTH = 200
 GRAM = 32
 BLOCK = 1 << 16
 PLACE = (1 << 17) - 1  # the low bits of a hash hold its place, so that equal hashes in a window are told apart
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 STEP = 16
 SLICE_BYTES = 4 << 20
 HOT_SEGMENTS = 4096
@@ -293,6 +293,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = False
 
     ``kept`` is null where nothing is removed; parts of characters at the edges of what is removed go too.
     """
+    small_batches(docs.sparkSession)
     texts = text_table(docs)
     lists = repeated_places(texts, width).groupBy("tid").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     schema = "tid binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postloom.llm.common import fresh, text_or_empty, written
+from postloom.llm.common import fresh, small_batches, text_or_empty, written
 
 SAMPLE = 1 << 16
 SHARD_ROWS = 50_000
@@ -56,6 +56,7 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", out: str = "fp") -> DataFrame:
     """``docs`` with the fingerprint of ``text`` as a signed bigint."""
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("bigint")
     def of(texts: pa.Array) -> pa.Array:
