@@ -62,9 +62,9 @@ def test_windows_are_split_by_slice(spark, no_auto_broadcast):
                 assert any("Aggregate(keys=[batch_id" in below and "_slice" in below for below in lines[i : i + 4])
 
 
-def test_only_file_counts_meet_in_one_task(spark):
+def test_file_ranks_meet_in_no_single_task(spark):
     text = plan(pending.admit(fx.keyed(spark, SF), 10))
-    assert text.count("SinglePartition") == 1
+    assert text.count("SinglePartition") == 0
     at = text.index("SinglePartition")
     assert "HashAggregate" in text[at : at + 400]
 
