@@ -20,7 +20,6 @@ rows with one doc_id count as one document; an empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -195,14 +194,15 @@ def links(groups: DataFrame, radius: int = 3) -> DataFrame:
                     key = pa.array(np.full(len(at), shard * len(HALVES) + k, "i8"))
                     yield pa.RecordBatch.from_arrays([key, *chosen.columns], names=["shard", "fp", "rep"])
 
-    def link(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rep")
-        reps = rows["rep"].to_numpy()
-        a, b = shard_links(rows["fp"].to_numpy().view("u8"), HALVES[key[0] % len(HALVES)], radius)
-        return pd.DataFrame({"a": reps[a], "b": reps[b]})
+    def link(key: tuple, rows: pa.Table) -> pa.Table:
+        fps, reps = (rows.column(c).to_numpy() for c in ("fp", "rep"))
+        order = np.argsort(reps)
+        fps, reps = fps[order], reps[order]
+        a, b = shard_links(fps.view("u8"), HALVES[key[0].as_py() % len(HALVES)], radius)
+        return pa.table({"a": reps[a], "b": reps[b]})
 
     dealt = groups.select("fp", "rep").mapInArrow(deal, "shard bigint, fp bigint, rep bigint")
-    return dealt.groupBy("shard").applyInPandas(link, "a bigint, b bigint")
+    return dealt.groupBy("shard").applyInArrow(link, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
