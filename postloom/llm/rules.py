@@ -158,12 +158,12 @@ def with_verdicts(measured: DataFrame, chosen: DataFrame, stratum: str = "lang")
     return both.select(*(F.col(f"`{c}`") for c in measured.columns), base_failed().alias("base_failed"), kept)
 
 
-def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with cutoffs certified on its labelled documents.
+def accepted(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with cutoffs certified on the labelled rows of ``labelled``, or its own.
 
-    Texts are counted twice, for the cutoffs and for the verdicts, and moved by no shuffle.
+    Texts are counted for the cutoffs and for the verdicts, and moved by no shuffle.
     """
-    chosen = cutoffs(docs, labels)[1]
+    chosen = cutoffs(docs if labelled is None else labelled, labels)[1]
     (taken,) = fresh(docs, "row")
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(taken), "lang", "text")
     # Asking for the number keeps filters above the counts: below them, texts would be split once for every word.
