@@ -1,11 +1,17 @@
 """Quality rules whose cutoffs are certified on labelled holdouts.
 
-Each rule compares a ratio with a cutoff from a fixed grid. For a stratum (language), rule and cutoff, let ``k`` of
-the ``n`` labelled clean documents outside the held-out fold be rejected. The cutoff is certified if a false
-rejection rate of ``rate / rules`` would give at most ``k`` with a probability of at most ``delta`` divided by the
-number of all tests made (exact binomial tail, Bonferroni). So with probability ``1 - delta`` no stratum loses more
-than ``rate`` of its clean documents. Of the certified cutoffs the one that gains most is used (rejected bad
-documents less ``PRICE`` times rejected clean ones, the laxer of equals), and none if none gains.
+Each rule compares a ratio with a cutoff from a fixed grid. The labelled documents outside the held-out fold are
+halved by a hash of their ids. One half chooses: in each stratum (language), the rule and cutoff that gain most
+(rejected bad documents less ``PRICE`` times rejected clean ones, the laxer of equals), then the ones that gain most
+among what is left, until none gains. The other half certifies the unions of the first choice, the first two and so on,
+in this order and up to the first that fails: let a union reject ``k`` of the ``n`` clean documents of the half; it
+passes if a false rejection rate of ``rate`` would give at most ``k`` with a probability of at most ``delta`` divided by
+the number of strata tested (exact binomial tail). Tests in a fixed order cost no further share of ``delta``, and strata
+too small to pass without a single rejection are not tested. So with probability ``1 - delta`` no stratum loses more
+than ``rate`` of its clean documents.
+
+``certified`` is the stricter way to one cutoff for each rule: on all of the labelled documents, each at
+``rate / rules``, ``delta`` divided by all strata, rules and cutoffs.
 
 All of it is DataFrame functions: statistics of whole texts, counts, tails and verdicts.
 
@@ -124,11 +130,26 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 def certified(measured: DataFrame, labels: DataFrame, label: str = "quality", stratum: str = "lang") -> DataFrame:
     """``(stratum, rule, cutoff)``: the cutoff used by each rule in each stratum."""
+    table = rejections(known_rows(measured, labels, label, stratum))
+    tests = table.select("stratum").distinct().groupBy().agg((F.count("*") * len(RULES) * STEPS).alias("tests"))
+    table = table.join(F.broadcast(tests))  # one row
+    table = table.where(binomial_tail(F.col("k"), F.col("n"), RATE / len(RULES)) <= DELTA / F.col("tests"))
+    best = gainful(table, "stratum", "rule")
+    return best.select("stratum", "rule", F.col("passed").alias("cutoff"))
+
+
+def known_rows(measured: DataFrame, labels: DataFrame, label: str, stratum: str) -> DataFrame:
+    """Labelled rows outside the held-out fold that pass the base rule: doc_id, stratum, ``y``, cutoffs passed by each rule."""
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     usable = usable.groupBy("doc_id").agg(F.min(label).alias("y"))
     known = measured.join(usable, "doc_id").where(~base_failed())
-    per_rule = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), passed_cutoffs(r).alias("passed")) for r in RULES)))
-    seen = known.select(F.col(stratum).alias("stratum"), "y", per_rule.alias("x")).groupBy("stratum", "x.rule", "x.passed")
+    return known.select("doc_id", F.col(f"`{stratum}`").alias("stratum"), "y", *(passed_cutoffs(r).alias(r) for r in RULES))
+
+
+def rejections(known: DataFrame) -> DataFrame:
+    """Per stratum, rule and cutoff ``passed``: the ``n`` clean rows, and the clean (``k``) and bad rows rejected."""
+    per_rule = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("passed")) for r in RULES)))
+    seen = known.select("stratum", "y", per_rule.alias("x")).groupBy("stratum", "x.rule", "x.passed")
     seen = seen.agg(F.sum("y").alias("clean"), F.sum(1 - F.col("y")).alias("bad"))
     steps = F.explode(F.sequence(F.lit(1), F.lit(STEPS)))
     sides = Window.partitionBy("stratum", "rule")
@@ -137,14 +158,62 @@ def certified(measured: DataFrame, labels: DataFrame, label: str = "quality", st
     seen = seen.unionByName(every.withColumns({"clean": F.lit(0).cast("long"), "bad": F.lit(0).cast("long")}))
     seen = seen.groupBy("stratum", "rule", "passed").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
     table = seen.select("stratum", "rule", "passed", F.sum("clean").over(sides).alias("n"), F.sum("clean").over(beyond).alias("k"), F.sum("bad").over(beyond).alias("bad"))
-    table = table.where("passed > 0")
-    tests = table.select("stratum").distinct().groupBy().agg((F.count("*") * len(RULES) * STEPS).alias("tests"))
-    table = table.join(F.broadcast(tests))  # one row
-    table = table.where(binomial_tail(F.col("k"), F.col("n"), RATE / len(RULES)) <= DELTA / F.col("tests"))
+    return table.where("passed > 0")
+
+
+def gainful(table: DataFrame, *by: str) -> DataFrame:
+    """The rows of ``rejections`` that gain most for each value of ``by``, the laxer of equals, if they gain."""
     gain = F.col("bad") - PRICE * F.col("k")
-    best = Window.partitionBy("stratum", "rule").orderBy(gain.desc(), F.desc("passed"))
-    table = table.where(gain > 0).withColumn("nth", F.row_number().over(best)).where("nth = 1")
-    return table.select("stratum", "rule", F.col("passed").alias("cutoff"))
+    best = Window.partitionBy(*by).orderBy(gain.desc(), F.desc("passed"), "rule")
+    return table.where(gain > 0).withColumn("nth", F.row_number().over(best)).where("nth = 1")
+
+
+def joined(known: DataFrame, chosen: DataFrame, *columns: str) -> DataFrame:
+    """``known`` with ``columns`` of its stratum's row in ``chosen``, null if there is none."""
+    other = chosen.select(F.col("stratum").alias("of"), *columns)
+    return known.join(other, F.col("stratum").eqNullSafe(F.col("of")), "left").drop("of")
+
+
+def passed_by(rule: Column) -> Column:
+    return F.coalesce(*(F.when(rule == r, F.col(r)) for r in RULES))
+
+
+def choices(known: DataFrame) -> DataFrame:
+    """``(stratum, nth, rule, cutoff)``: rules and cutoffs in the order in which they gain most of what is left."""
+    made, left = None, known
+    for nth in range(1, len(RULES) + 1):
+        best = gainful(rejections(left), "stratum").select("stratum", F.lit(nth).alias("nth"), "rule", F.col("passed").alias("cutoff"))
+        best = written(best, "llm-choices")
+        made = best if made is None else made.union(best)
+        left = joined(left, best, "rule", "cutoff").where("rule is not null")
+        left = left.where(passed_by(F.col("rule")) < F.col("cutoff")).drop("rule", "cutoff")
+        if best.isEmpty():
+            break
+    return made
+
+
+def certified_unions(measured: DataFrame, labels: DataFrame, label: str = "quality", stratum: str = "lang") -> DataFrame:
+    """``(stratum, rule, cutoff)``: the rules of each stratum's largest certified union."""
+    known = written(known_rows(measured, labels, label, stratum), "llm-known")
+    half = F.pmod(F.xxhash64("doc_id", F.lit(42)), F.lit(2))
+    chosen = written(choices(known.where(half == 0)), "llm-choices")
+    picks = chosen.groupBy("stratum").agg(F.collect_list(F.struct("nth", "rule", "cutoff")).alias("picks"))
+    first = F.array_min(F.transform(F.filter("picks", lambda p: passed_by(p["rule"]) >= p["cutoff"]), lambda p: p["nth"]))
+    proof = joined(known.where((half == 1) & (F.col("y") == 1)), picks, "picks").where("picks is not null")
+    proof = proof.select("stratum", first.alias("first")).groupBy("stratum", "first").count()
+    # From here on, one row for each stratum.
+    proof = proof.groupBy("stratum").agg(F.sum("count").alias("n"), F.collect_list(F.struct("first", "count")).alias("hits"))
+    sizes = proof.groupBy().agg(F.collect_list("n").alias("sizes"))
+    peers = F.size(F.filter("sizes", lambda m: m >= F.col("n"))).alias("peers")
+    proof = written(proof.join(F.broadcast(sizes)).select("stratum", "n", "hits", peers), "llm-proof")
+    able = proof.where(F.col("n") * F.log(F.lit(1 - RATE)) <= F.log(DELTA / F.col("peers")))
+    tests = able.groupBy().agg(F.max("peers").alias("tests"))
+    tested = proof.join(F.broadcast(tests)).where("peers <= tests")
+    each = joined(chosen, tested, "n", "hits", "tests").where("n is not null")
+    k = F.aggregate(F.filter("hits", lambda h: h["first"] <= F.col("nth")), F.lit(0).cast("long"), lambda a, h: a + h["count"])
+    # k grows with nth, so what passes is the unions up to the first that fails.
+    each = each.withColumn("k", k).where(binomial_tail(F.col("k"), F.col("n"), RATE) <= DELTA / F.col("tests"))
+    return each.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
 def with_verdicts(measured: DataFrame, chosen: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -174,7 +243,7 @@ def accepted(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None = No
 def cutoffs(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The counts of ``docs`` and the certified cutoffs, both written."""
     measured = written(counts(docs.select("doc_id", "lang", "text")).drop("text"), "llm-counts")
-    return measured, written(certified(measured, labels), "llm-cutoffs")
+    return measured, written(certified_unions(measured, labels), "llm-cutoffs")
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from llm.helpers import DOCS, syllables
+from postloom.llm import rules
 
 
 def junk(rng, n):
@@ -29,3 +32,26 @@ def test_stage_rejects_what_the_classifier_let_pass(spark, tmp_path):
     passed = passed.unionByName(spark.createDataFrame([(10**6, junk(rng, 80), "en", "src", 1), (10**6 + 1, syllables(rng, 80), "en", "src", 1)], DOCS))
     kept = {r.doc_id for r in corpus_pipeline.within_rules(spark, passed, str(tmp_path)).select("doc_id").collect()}
     assert 10**6 not in kept and 10**6 + 1 in kept and len(kept) > 0.95 * 1600
+
+
+def test_small_strata_have_cutoffs(spark):
+    docs, labels = labelled(spark, {"en": 1500, "de": 340, "fr": 370, "es": 226, "rare": 8})
+    rows = rules.report(docs, labels).join(docs.select("doc_id", "lang"), "doc_id").join(labels, "doc_id")
+    got = rows.groupBy("lang", "quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {(r.lang, r.quality): r.kept for r in got}
+    for lang in ("en", "de", "fr", "es"):
+        assert kept[lang, 0] < 0.05 and kept[lang, 1] > 1 - rules.RATE
+    assert kept["rare", 1] == 1
+
+
+def test_no_stratum_loses_more_than_the_rate(spark):
+    """Ratios that tell nothing, at sizes at which luck on one half chooses cutoffs."""
+    rng = random.Random(11)
+    lost = 0
+    for _ in range(3):
+        rows = [(i, rng.choice(["a", "b", None]), 100, 500, int(rng.paretovariate(1)), 10, rng.randint(0, 3), rng.randint(0, 40), int(rng.random() < 0.2)) for i in range(1500)]
+        df = spark.createDataFrame(rows, "doc_id bigint, lang string, " + ", ".join(f"{c} bigint" for c in rules.COUNTS) + ", quality int")
+        chosen = rules.certified_unions(df.drop("quality"), df.select("doc_id", "quality"))
+        made = rules.with_verdicts(df.drop("quality"), chosen).join(df.select("doc_id", "quality"), "doc_id").where("quality = 1")
+        lost += sum(r.share > 1.5 * rules.RATE for r in made.groupBy("lang").agg(F.avg(1 - F.col("kept").cast("int")).alias("share")).collect())
+    assert lost == 0
