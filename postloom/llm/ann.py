@@ -15,7 +15,9 @@ Queries go to the shards in blocks, so a task holds one block and one shard, and
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, or whose length isn't the
 commonest one (the smaller of equals), take no part, as queries or candidates; so do rows without an id; queries with
-fewer than k candidates get them all; an empty table gives no rows.
+fewer than k candidates get them all; rows equal in id and vector count once, as a query and as a candidate; different
+vectors of one id are rows of their own, each query with its own k ranks under that id, and none is another's
+neighbour; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -122,8 +124,8 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
-def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, model: Codes, k: int) -> pd.DataFrame:
-    """The k nearest rows of a shard for each query of a block."""
+def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, model: Codes, k: int, twins: np.ndarray | None = None) -> pd.DataFrame:
+    """The k nearest rows of a shard for each query of a block; ``twins`` tell queries of one id apart."""
     codes, wanted = model.of(vectors), model.of(queries)
     index = Index(codes)
     found, scores, counts = [], [], []
@@ -142,7 +144,8 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
         found.append(ids[rows[best]])
         scores.append(score[best])
         counts.append(len(best))
-    return pd.DataFrame({"query_id": np.repeat(query_ids, counts), "vec_id": np.concatenate(found), "score": np.concatenate(scores)})
+    twins = np.zeros(len(queries), "i8") if twins is None else twins
+    return pd.DataFrame({"query_id": np.repeat(query_ids, counts), "twin": np.repeat(twins, counts), "vec_id": np.concatenate(found), "score": np.concatenate(scores)})
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -151,7 +154,7 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(key).cast("bigint").alias("vec_id"), v.alias("v"), F.size(v).alias("width"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fine)
-    rows = written(rows.where(F.forall("v", lambda x: x.isNotNull())), "llm-vectors")
+    rows = written(rows.where(F.forall("v", lambda x: x.isNotNull())).dropDuplicates(["vec_id", "v"]), "llm-vectors")
     common = rows.groupBy("width").count().orderBy(F.desc("count"), "width").first()
     return rows.where(F.col("width") == (common.width if common else 0)).select("vec_id", "v")
 
@@ -167,7 +170,7 @@ def nearest(vectors: DataFrame, query: Column, k: int = 5, key: str = "vec_id",
     rows = usable(vectors, key, vector)
     n = rows.count()
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()
-    schema = "query_id bigint, vec_id bigint, score double"
+    schema = "query_id bigint, twin bigint, vec_id bigint, score double"
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     shared = spark.sparkContext.broadcast(Codes(sample.column("v").combine_chunks().flatten().to_numpy().reshape(sample.num_rows, -1)))
@@ -178,17 +181,18 @@ def nearest(vectors: DataFrame, query: Column, k: int = 5, key: str = "vec_id",
     shards = max(shards, min(-(-n // 2048), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     shard = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards))
     block = F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks))
-    index = rows.select("vec_id", "v", shard.alias("shard"), each(blocks).alias("block"))
-    asked = asked.select("vec_id", "v", each(shards).alias("shard"), block.alias("block"))
+    twin = F.xxhash64("v", F.lit(3)).alias("twin")
+    index = rows.select("vec_id", "v", twin, shard.alias("shard"), each(blocks).alias("block"))
+    asked = asked.select("vec_id", "v", twin, each(shards).alias("shard"), block.alias("block"))
     both = index.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
 
     def find(rows: pd.DataFrame) -> pd.DataFrame:
         asks = rows["asks"].to_numpy(dtype=bool)
         ids, v = rows["vec_id"].to_numpy(), np.array(rows["v"].tolist(), "f8")
         if not asks.any() or asks.all():
-            return pd.DataFrame({c: [] for c in ("query_id", "vec_id", "score")})
-        return search(ids[~asks], v[~asks], ids[asks], v[asks], shared.value, k)
+            return pd.DataFrame({c: [] for c in ("query_id", "twin", "vec_id", "score")})
+        return search(ids[~asks], v[~asks], ids[asks], v[asks], shared.value, k, rows["twin"].to_numpy()[asks])
 
     found = both.groupBy("shard", "block").applyInPandas(find, schema)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "twin").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
