@@ -13,8 +13,9 @@ written tables.
 Equal fingerprints are joined before anything else, so exact copies, however many, are one point.
 
 Defined results: a null text counts as empty; a text without words has fingerprint zero, linked like any other;
-a null doc_id names no component: its row belongs to its fingerprint's component, null if no row of it has an id;
-rows with one doc_id count as one document; an empty table gives no rows.
+a null doc_id names no component: its row belongs to its fingerprint's component, null if no row with an id is
+reachable; rows with one doc_id count as one document, so its texts are linked whatever their fingerprints; links pass
+through fingerprints that only rows without an id have; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SHARD_ROWS = 50_000
 LEAF = 256
 SEED = 42
 HALVES = (0x00000000FFFFFFFF, 0xFFFFFFFF00000000)
+FP_NODE = 1 << 65
+NODE = "decimal(38,0)"
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -224,26 +227,49 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def graph(prints: DataFrame, radius: int = 3) -> DataFrame:
+    """Per row of ``prints`` (``doc_id``, ``fp``): its ``node`` and the smallest ``component`` node it reaches.
+
+    A document's node is its doc_id and a fingerprint's node is ``FP_NODE + fp``, as decimals, so that every doc_id is
+    smaller than every fingerprint's node. Edges join each document to each of its fingerprints and fingerprints within
+    ``radius`` bits; so texts of one doc_id are joined, and so are chains through fingerprints that only rows without an
+    id have. A row's component is a doc_id unless no row with an id is reachable; an unlinked row without an id has none.
+    """
+    groups = written(prints.select("fp").distinct().withColumn("rep", F.col("fp")), "llm-groups")
+    near = links(groups, radius)
+    near = near.select(fp_node(F.col("a")).alias("a"), fp_node(F.col("b")).alias("b"))
+    member = prints.where("doc_id is not null").select(F.col("doc_id").cast(NODE).alias("a"), fp_node(F.col("fp")).alias("b"))
+    found = components(near.unionByName(member))
+    rows = prints.withColumn("node", F.coalesce(F.col("doc_id").cast(NODE), fp_node(F.col("fp"))))
+    return rows.join(found, "node", "left").withColumn("component", F.coalesce("component", F.when(F.col("doc_id").isNotNull(), F.col("node"))))
+
+
+def fp_node(fp: Column) -> Column:
+    return (F.expr(f"CAST({FP_NODE} AS {NODE})") + fp.cast(NODE)).cast(NODE)
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``fp`` and ``component_id``, the smallest doc_id that links reach."""
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     prints = written(fingerprints(ids, shingle).select("doc_id", "fp"), "llm-fingerprints")
-    groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "llm-groups")
-    found = components(links(groups.where("rep is not null"), radius))
-    groups = groups.join(found, groups["rep"] == found["node"], "left")
-    groups = groups.select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+    found = graph(prints, radius)
+    component = F.when(F.col("component") < F.expr(f"CAST({FP_NODE} AS {NODE})"), F.col("component").cast("bigint"))
+    return found.select("doc_id", "fp", component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest doc_id (one for each fingerprint without an id)."""
-    doc_id, fp, component = fresh(docs, "kept_id", "kept_fp", "kept_component")
-    found = near_duplicates(docs, radius, shingle).toDF(doc_id, fp, component)
-    kept = found.where(F.col(doc_id) == F.col(component)).select(doc_id).distinct()
-    keyed = docs.join(kept, docs["doc_id"].cast("bigint") == kept[doc_id], "left_semi").dropDuplicates(["doc_id"])
-    bare = fingerprints(docs.where("doc_id is null"), shingle, out=fp).dropDuplicates([fp])
-    lone = found.where(F.col(component).isNull()).select(F.col(fp).alias(component)).distinct()
-    return keyed.unionByName(bare.join(lone, bare[fp] == lone[component], "left_semi").select(docs.columns))
+    """``docs`` with one row of each component: one row of its smallest doc_id, or, where no row of a component has an
+    id, one row of its smallest fingerprint. Rows of one doc_id are one document; the row kept of it is any of them."""
+    fp, node = fresh(docs, "kept_fp", "kept_node")
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
+    prints = written(fingerprints(ids, shingle).select("doc_id", "fp"), "llm-fingerprints")
+    found = written(graph(prints, radius), "llm-kept")
+    kept = found.where("doc_id = component").select(F.col("doc_id").alias(node)).distinct()
+    keyed = docs.join(kept, docs["doc_id"].cast("bigint") == kept[node], "left_semi").dropDuplicates(["doc_id"])
+    lone = found.where("doc_id is null and (component is null or component = node)").select(F.col("fp").alias(node)).distinct()
+    bare = fingerprints(docs.where("doc_id is null"), shingle, out=fp)
+    bare = bare.join(lone, bare[fp] == lone[node], "left_semi").dropDuplicates([fp])
+    return keyed.unionByName(bare.select(docs.columns))
 
 
 def digests(docs: DataFrame) -> DataFrame:

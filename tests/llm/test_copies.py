@@ -35,7 +35,7 @@ def plain_components(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= 3:
+            if (prints[i] ^ prints[j]).bit_count() <= 3 or (rows[i][0] is not None and rows[i][0] == rows[j][0]):
                 group[root(i)] = root(j)
     for i, (d, _) in enumerate(rows):
         if d is not None:
@@ -65,6 +65,20 @@ def test_simhash_components(spark, monkeypatch, leaf):
     assert simhash.digests(docs(spark, [])).count() == 0
 
 
+def test_texts_of_one_id_and_chains_through_rows_without_one(spark):
+    rng = random.Random(4)
+    a, b, c = (syllables(rng, 200) for _ in range(3))
+    far = dict(enumerate(c.split()))
+    bridge = " ".join(far.get(i, w) if i % 40 else w for i, w in enumerate(a.split()))
+    rows = [(3, a), (5, a), (5, b), (7, b), (None, bridge), (11, bridge + " x"), (None, "alone"), (None, "alone")]
+    got = simhash.digests(docs(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=repr) == plain_components(rows)
+    assert {r.component_id for r in got if r.doc_id in (3, 5, 7)} == {3}
+    kept = simhash.keep_one(docs(spark, rows))
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted({c for _, _, c in plain_components(rows) if c is not None})
+    assert [r.text for r in kept.where("doc_id is null").collect()] == ["alone"]
+
+
 def test_keep_one_keeps_the_smallest_of_each_component(spark):
     rng = random.Random(9)
     rows = list(enumerate(near_copies(rng, 60))) + [(None, "no id"), (None, "no id"), (7, "seven again")]
