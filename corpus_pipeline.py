@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postloom.llm import jaccard, packing, quality, repeats, rules
+from postloom.llm import packing, quality, repeats, rules, simhash
 from postloom.llm.common import table, written
 from postloom.llm.queries import BPE
 
@@ -20,8 +20,8 @@ def within_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more over five words."""
-    return jaccard.keep_one(docs)
+    """One document of each group of SimHash fingerprints linked within 3 bits, over 3-word shingles (op3's contract)."""
+    return simhash.keep_one(docs, radius=3, shingle=3)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
