@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import functions as F
 
-from postloom.llm import ann, bpe, counts, html, packing, quality, repeats, rules, simhash, urls
+from postloom.llm import ann, bpe, codes, counts, html, packing, quality, repeats, rules, simhash, urls
 from postloom.llm.common import table
 
 BPE = path("byte_bpe_50k.json")
@@ -52,5 +52,9 @@ def op10_urls(spark, sf_dir):
     return urls.report(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op8_html, op9_rules, op10_urls)}
-ORACLE: dict[str, str] = {}
+def op11_codes(spark, sf_dir):
+    return codes.quantize(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op8_html, op9_rules, op10_urls, op11_codes)}
+ORACLE: dict[str, str] = {"op11_codes": codes.oracle_sql()}
