@@ -5,11 +5,12 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import functions as F
 
-from postloom.llm import ann, bpe, codes, counts, html, packing, quality, repeats, rules, simhash, urls
+from postloom.llm import ann, bpe, codes, counts, html, packing, quality, repeats, rules, simhash, urls, windows
 from postloom.llm.common import table
 
 BPE = path("byte_bpe_50k.json")
 PIECES = path("piece_bpe_32k.model")
+WORDS = path("word_bpe_49k.json")
 
 
 def op1_token_counts(spark, sf_dir):
@@ -56,5 +57,9 @@ def op11_codes(spark, sf_dir):
     return codes.quantize(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op8_html, op9_rules, op10_urls, op11_codes)}
+def op12_windows(spark, sf_dir):
+    return windows.pack(table(spark, sf_dir, "documents"), WORDS)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op8_html, op9_rules, op10_urls, op11_codes, op12_windows)}
 ORACLE: dict[str, str] = {"op11_codes": codes.oracle_sql()}

@@ -1,0 +1,68 @@
+"""Bounded-space packing against the library's ids: every id in one piece, full sequences but the last."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from public_tokenizers import path
+from tokenizers import Tokenizer
+
+from llm.helpers import EDGES, syllables
+from postloom.llm import windows
+
+WORDS = path("word_bpe_49k.json")
+
+
+def test_windows_are_full_and_bounded():
+    rng = random.Random(2)
+    w = windows.Windows(100, 3)
+    seen, done = defaultdict(list), []
+    lengths = [rng.choice([1, 5, 40, 99, 100, 101, 350]) for _ in range(400)]
+    for d, n in enumerate(lengths):
+        done += w.place(n, d)
+        assert len(w.open) <= 3
+    for serial, pieces in done + [(s, p) for s, _, p in w.open]:
+        offset = 0
+        for at, length, (d, start) in pieces:
+            assert at == offset
+            offset += length
+            seen[d].append((start, length))
+    assert all(sum(length for _, length, _ in p) == 100 for _, p in done)
+    for d, n in enumerate(lengths):
+        spans = sorted(seen[d])
+        assert spans[0][0] == 0 and all(a + b == c for (a, b), (c, _) in zip(spans, spans[1:])) and sum(l for _, l in spans) == n
+
+
+@pytest.mark.parametrize("capacity, slots", [(64, 3), (4096, 8)])
+def test_pack_covers_every_id_once(spark, capacity, slots):
+    rng = random.Random(capacity)
+    texts = EDGES + [syllables(rng, rng.randint(0, 900)) for _ in range(150)] + ["<|endoftext|> x"]
+    rows = [(i if i % 17 else None, t, "clash", 1.0) for i, t in enumerate(texts)] + [(5, texts[5], "clash", 1.0)] * 3
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string, window double").repartition(3)
+    got = windows.pack(df, WORDS, capacity, slots).collect()
+    lib = Tokenizer.from_file(WORDS)
+    want = [np.array(lib.encode(t or "", add_special_tokens=False).ids + [2], "<u4") for _, t, *_ in rows]
+    # rows are told apart by (doc_id, doc_tokens) and the pieces' checksums
+    by_doc = defaultdict(list)
+    for r in got:
+        by_doc[(r.doc_id, r.doc_tokens)].append(r)
+    expected = defaultdict(list)
+    for (d, *_), ids in zip(rows, want):
+        expected[(d, len(ids))].append(ids)
+    assert sorted(by_doc, key=repr) == sorted(expected, key=repr)
+    for key, pieces in by_doc.items():
+        copies = expected[key]
+        assert sum(p.length for p in pieces) == key[1] * len(copies)
+        for p in pieces:
+            assert any(zlib.crc32(ids[p.start : p.start + p.length].tobytes()) == p.ids_crc32 for ids in copies)
+    fill = defaultdict(list)
+    for r in got:
+        fill[r.sequence_id].append((r.offset, r.length))
+    for spans in fill.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + b == c for (a, b), (c, _) in zip(spans, spans[1:])) and sum(b for _, b in spans) <= capacity
+    total = sum(len(ids) for ids in want)
+    assert len(fill) == -(-total // capacity)
+    assert windows.pack(df.limit(0), WORDS).count() == 0
