@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import functions as F
 
-from postloom.llm import ann, bpe, codes, counts, html, packing, quality, repeats, rules, simhash, urls, windows
+from postloom.llm import ann, audit, bpe, codes, counts, html, packing, quality, repeats, rules, simhash, urls, windows
 from postloom.llm.common import table
 
 BPE = path("byte_bpe_50k.json")
@@ -61,5 +61,9 @@ def op12_windows(spark, sf_dir):
     return windows.pack(table(spark, sf_dir, "documents"), WORDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op8_html, op9_rules, op10_urls, op11_codes, op12_windows)}
-ORACLE: dict[str, str] = {"op11_codes": codes.oracle_sql()}
+def op13_audit(spark, sf_dir):
+    return audit.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe, op3_simhash, op4_ann, op5_packing, op6_repeats, op7_quality, op8_html, op9_rules, op10_urls, op11_codes, op12_windows, op13_audit)}
+ORACLE: dict[str, str] = {"op11_codes": codes.oracle_sql(), "op13_audit": audit.oracle_sql()}
