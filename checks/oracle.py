@@ -354,14 +354,21 @@ ORACLE = {
     + """SELECT (SELECT count(*) FROM keyed) - count(*) AS processed, (SELECT count(*) FROM keyed) AS total, count(*) AS remaining,
       round(((SELECT count(*) FROM keyed) - count(*)) * 100.0::DOUBLE / nullif((SELECT count(*) FROM keyed), 0), 1) AS percent FROM pending""",
     "enrich_table": _with(_POSTINGS, _PROMPTS, _MODEL)
-    + f""", old AS (SELECT *, {_OLD_CELLS} FROM model)
+    + f""", known AS (SELECT DISTINCT coalesce(nullif(job_id, ''), dedup_key) AS k FROM keyed WHERE enriched),
+      cand AS (SELECT *, coalesce(nullif(job_id, ''), dedup_key) AS rk FROM model m WHERE NOT enriched
+        AND NOT EXISTS (SELECT 1 FROM known WHERE k = nullif(m.job_id, '')) AND NOT EXISTS (SELECT 1 FROM known WHERE k = m.dedup_key)),
+      firsts AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY rk ORDER BY source_file, row_index) = 1),
+      bare AS (SELECT rk, source_file AS f0, row_index AS i0, usable AS ok0 FROM firsts WHERE nullif(job_id, '') IS NULL),
+      sent AS (SELECT source_file, row_index FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM bare b WHERE nullif(f.job_id, '') IS NOT NULL
+        AND b.rk = f.dedup_key AND b.ok0 AND (b.f0 < f.source_file OR (b.f0 = f.source_file AND b.i0 < f.row_index)))),
+      old AS (SELECT m.*, {_OLD_CELLS}, NOT (s.row_index IS NOT NULL AND m.usable) AS keep FROM model m LEFT JOIN sent s USING (source_file, row_index))
       SELECT source_file, row_index,
-      CASE WHEN enriched OR NOT usable THEN old_category WHEN status = 'raw' THEN '' ELSE json_extract_string(js, '$.job_category') END AS "AI_job_category",
-      CASE WHEN enriched OR NOT usable THEN old_level WHEN status = 'raw' THEN '' WHEN n % 2 = 0 THEN 'Senior, Lead' ELSE 'Mid' END AS "AI_seniority_level",
-      CASE WHEN enriched OR NOT usable OR status = 'raw' THEN '' ELSE CAST(n AS VARCHAR) END AS "AI_years_experience_required",
-      '' AS "AI_education_required", CASE WHEN enriched OR NOT usable THEN old_policy ELSE '' END AS "AI_remote_policy", '' AS "AI_company_stage",
-      CASE WHEN NOT enriched AND usable THEN status END AS parse_status,
-      CASE WHEN NOT enriched AND usable AND status = 'raw' THEN 'no answer for ' || n END AS raw_response FROM old""",
+      CASE WHEN keep THEN old_category WHEN status = 'raw' THEN '' ELSE json_extract_string(js, '$.job_category') END AS "AI_job_category",
+      CASE WHEN keep THEN old_level WHEN status = 'raw' THEN '' WHEN n % 2 = 0 THEN 'Senior, Lead' ELSE 'Mid' END AS "AI_seniority_level",
+      CASE WHEN keep OR status = 'raw' THEN '' ELSE CAST(n AS VARCHAR) END AS "AI_years_experience_required",
+      '' AS "AI_education_required", CASE WHEN keep THEN old_policy ELSE '' END AS "AI_remote_policy", '' AS "AI_company_stage",
+      CASE WHEN NOT keep THEN status END AS parse_status,
+      CASE WHEN NOT keep AND status = 'raw' THEN 'no answer for ' || n END AS raw_response FROM old""",
     "enrich_rows": _with(_POSTINGS, _PROMPTS, _MODEL)
     + """SELECT source_file, row_index, CAST(CASE WHEN outcome = 'failed' THEN 3 ELSE 1 END AS BIGINT) AS n_attempts, outcome,
       status AS parse_status, usable, CASE WHEN outcome = 'failed' THEN '429 quota exceeded' END AS last_error
