@@ -175,7 +175,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFram
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         terms(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("terms"),
     )
-    base = written(base.withColumn("doc", F.monotonically_increasing_id()), "llm-audit-terms")
+    # Texts are read and split again for each use rather than written as terms, which would outweigh them.
     groups = written(base.select("lang", "source").distinct(), "llm-audit-groups")
     per_doc = base.select("lang", F.explode(F.array_distinct("terms")).alias("term"))
     kept = per_doc.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
