@@ -22,6 +22,7 @@ piece's place in its sequence, gapless from 0.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -77,6 +78,7 @@ class Windows:
 
 
 def tokenizer_of(content: bytes):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     key = hash(content)
@@ -123,9 +125,9 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, open_windows: int
 
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            encoded = tokenizer.encode_batch(texts, add_special_tokens=False)
-            for doc_id, enc in zip(batch.column("doc_id").to_pylist(), encoded):
-                ids = np.concatenate([np.asarray(enc.ids, "<u4"), tail])
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
+                # One text at a time, in this thread: a task has one core, and no pool of threads holds memory.
+                ids = np.concatenate([np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4"), tail])
                 for serial, pieces in windows.place(len(ids), (doc_id, ids)):
                     emit(serial, pieces, False)
             yield flush()
