@@ -14,7 +14,8 @@ shuffle. Each range builds a minimal acyclic transducer from its sorted kept ter
 a register of equivalent states; its outputs add up to each term's lexicographic ordinal. The counted terms of the
 range are streamed through it, so that only kept terms are counted again, each under its ordinal; ordinals become
 global by prefix sums over ranges and break ties between equal values. The pair part only walks terms that either
-source has: those neither has add V times the value of their two constant shares.
+source has, inside each term's row, adding up before the shuffle; terms neither source has add V times the value of
+their two constant shares.
 
 Defined results: groups without any kept term still give their pair rows (value 0 where the lang keeps nothing) and
 no term rows; a lang with one source gives no pair rows; repeated rows count as documents each; an empty table
@@ -191,9 +192,8 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFram
     sizes = sizes.select("range", "lang", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.sum("n").over(Window.partitionBy("lang")).alias("v"))
     present = found.where("term is not null").join(F.broadcast(sizes), ["range", "lang"])
     present = present.select("lang", "source", (F.col("first") + F.col("ordinal")).alias("ordinal"), "term", "count", "v")
-    present = written(present, "llm-audit-present")
     vocab = sizes.select("lang", "v").distinct()
-    totals = present.groupBy("lang", "source").agg(F.sum("count").alias("n"))
+    totals = found.where("term is not null").groupBy("lang", "source").agg(F.sum("count").alias("n"))
     groups = groups.join(vocab, "lang", "left").join(totals, ["lang", "source"], "left")
     groups = written(groups.select("lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("n", F.lit(0)).alias("n")), "llm-audit-sizes")
     groups = groups.withColumn("c", F.when(F.col("v") > 0, share(F.lit(0), F.col("n"), F.col("v"))))
@@ -214,20 +214,31 @@ def term_part(shares: DataFrame, top: int) -> DataFrame:
 
 
 def pair_part(shares: DataFrame, groups: DataFrame) -> DataFrame:
-    """Sum over kept terms of f(p_s, p_o), walking only the terms that s or o has."""
+    """Sum over kept terms of f(p_s, p_o), walking only the terms that s or o has.
+
+    Each kept term carries the sources that have it (at most the lang's sources); the differences it makes to each
+    ordered pair of sources are made inside its row and added up before the shuffle, so what moves is one row for
+    each pair and task, not one for each term and pair.
+    """
     width = shuffle_width(shares.sparkSession)
-    other = groups.select("lang", F.col("source").alias("o"), F.col("c").alias("c_o"))
-    salted = other.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
-    mine = shares.withColumn("salt", F.pmod(F.xxhash64("source", "ordinal"), F.lit(width)).cast("int"))
-    # A common lang meets its sources in every salt, so no task holds all of its terms.
-    x = mine.join(salted, ["lang", "salt"]).where("o <> source")
-    x = x.select("lang", F.col("source").alias("s"), "o", "ordinal", F.col("p").alias("p_s"), F.col("c").alias("c_s"), "c_o")
-    y = x.select("lang", F.col("o").alias("s"), F.col("s").alias("o"), "ordinal", F.col("p_s").alias("p_o"), F.col("c_o").alias("c_s"), F.col("c_s").alias("c_o"))
-    both = x.join(y, ["lang", "s", "o", "ordinal"], "full")
-    c_s = F.coalesce(x["c_s"], y["c_s"])
-    c_o = F.coalesce(x["c_o"], y["c_o"])
-    delta = drift(F.coalesce("p_s", c_s), F.coalesce("p_o", c_o)) - drift(c_s, c_o)
-    walked = both.groupBy("lang", "s", "o").agg(F.sum(delta.cast(BIG)).alias("walked"))
+    has = shares.groupBy("lang", "ordinal").agg(F.collect_list(F.struct("source", "p", "c")).alias("has"))
+    every = groups.groupBy("lang").agg(F.collect_list(F.struct("source", "c")).alias("every"))
+    # A common lang's terms are spread over all salts, each of which gets the lang's list of sources.
+    every = every.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
+    has = has.withColumn("salt", F.pmod(F.xxhash64("ordinal"), F.lit(width)).cast("int")).join(every, ["lang", "salt"])
+    present = F.map_from_entries(F.transform("has", lambda h: F.struct(h["source"], h["p"])))
+
+    def delta(s, o, ps, po, cs, co):
+        return F.struct(s.alias("s"), o.alias("o"), (drift(ps, po) - drift(cs, co)).alias("d"))
+
+    mine = F.flatten(F.transform("has", lambda h: F.transform(
+        F.filter("every", lambda a: a["source"] != h["source"]),
+        lambda a: delta(h["source"], a["source"], h["p"], F.coalesce(F.element_at(present, a["source"]), a["c"]), h["c"], a["c"]))))
+    theirs = F.flatten(F.transform(
+        F.filter("every", lambda a: ~F.map_contains_key(present, a["source"])),
+        lambda a: F.transform("has", lambda h: delta(a["source"], h["source"], a["c"], h["p"], a["c"], h["c"]))))
+    moved = has.select("lang", F.explode(F.concat(mine, theirs)).alias("x"))
+    walked = moved.groupBy("lang", F.col("x.s").alias("s"), F.col("x.o").alias("o")).agg(F.sum(F.col("x.d").cast(BIG)).alias("walked"))
     a = groups.select("lang", F.col("source").alias("s"), "v", F.col("c").alias("c_s"))
     b = groups.select("lang", F.col("source").alias("o"), F.col("c").alias("c_o"))
     # The pairs of sources of a lang are the rows asked for.
