@@ -536,9 +536,8 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     base = shared_dir(spark, "dedup")
     events = _stream(spark, d, "events").withColumn("key", F.concat_ws("|||", "user_id", "event_type"))
-    firsts = streams.dedup(events, ["key"], "ts", "60 days")
-    streams.drain(firsts.select("key"), f"{base}/out", f"{base}/state")
-    return spark.read.parquet(f"{base}/out")
+    streams.dedup_into(events.select("key", "ts"), ["key"], "ts", 60 * 86400, f"{base}/out", f"{base}/state")
+    return spark.read.parquet(f"{base}/out").select("key")
 
 
 def stream_daily_usage(spark: SparkSession, d: str) -> DataFrame:

@@ -54,6 +54,65 @@ def dedup(df: DataFrame, key: Sequence[str], event_time: str, delay: str) -> Dat
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+def dedup_into(
+    df: DataFrame, key: Sequence[str], event_time: str, delay_seconds: int, path: str, state: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """First arrival per key into ``path``, with the watermark rules of ``dropDuplicatesWithinWatermark``.
+
+    Each micro-batch is first cut to one row per key, the earliest by ``event_time``, which Spark does before the
+    shuffle, so a key with a third of the rows moves as one row per task. The state is a written table of keys with
+    the time they expire (event time plus ``delay_seconds``), one folder per micro-batch, and the largest event time
+    of each: a batch drops rows older than the watermark (largest earlier event time less the delay) and rows whose
+    key holds a state row that had not expired when the previous batch ended. A micro-batch that runs again reads
+    only the folders of the batches before it and overwrites its own, so it gives the same rows. Rows without an
+    event time are never late; null keys are equal to each other; of equal earliest rows of a key, any one is kept.
+    """
+    key = list(key)
+    key_fields = [df.schema[k] for k in key]
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marks = _folders(spark, f"{state}/marks", T.StructType([T.StructField("seen", T.TimestampType())]), batch_id)
+        tops = marks.groupBy().agg(
+            F.max("seen").alias("now"), F.max(F.when(F.col("batch") < batch_id - 1, F.col("seen"))).alias("before")
+        ).first()
+        shift = F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
+        timed = batch.withColumn(event_time, F.col(event_time).cast("timestamp"))
+        if tops.now is not None:
+            timed = timed.where(F.col(event_time).isNull() | (F.col(event_time) >= F.lit(tops.now) - shift))
+        first = F.min_by(F.struct(*timed.columns), F.coalesce(F.col(event_time), F.lit("9999-12-31").cast("timestamp")))
+        firsts = timed.groupBy(*key).agg(first.alias("_r")).select("_r.*")
+        schema = T.StructType([*key_fields, T.StructField("until", T.TimestampType())])
+        live = _folders(spark, f"{state}/keys", schema, batch_id)
+        if tops.before is not None:
+            live = live.where(F.col("until") > F.lit(tops.before) - shift)
+        live = live.select(*(F.col(k).alias(f"_s_{k}") for k in key)).distinct()
+        same = F.lit(True)
+        for k in key:
+            same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+        kept = firsts.join(live, same, "left_anti")
+        kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        kept = spark.read.parquet(f"{path}/batch={batch_id}")
+        until = kept.select(*key, (F.col(event_time) + shift).alias("until"))
+        until.write.mode("overwrite").parquet(f"{state}/keys/batch={batch_id}")
+        timed.agg(F.max(event_time).alias("seen")).write.mode("overwrite").parquet(f"{state}/marks/batch={batch_id}")
+
+    writer = df.writeStream.foreachBatch(step).option("checkpointLocation", f"{state}/checkpoint")
+    query = writer.trigger(**(trigger or {"availableNow": True})).start()
+    query.awaitTermination()
+    return query
+
+
+def _folders(spark: SparkSession, path: str, schema: T.StructType, before: int) -> DataFrame:
+    """The rows that batches before ``before`` wrote under ``path``, one folder ``batch=N`` each, with ``batch``."""
+    from postloom.sources.resume import path_exists
+
+    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(path).where(F.col("batch") < before)
+
+
 def daily_usage(df: DataFrame, at: str, by: Sequence[str] = (), delay: str = "1 day") -> DataFrame:
     """Answered requests, tokens and cost per day; counts combine before the shuffle."""
     when = F.col(at).cast("timestamp")
