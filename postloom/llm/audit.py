@@ -13,9 +13,9 @@ counts of the documents, which Spark takes from texts in the JVM and adds up per
 shuffle. Each range builds a minimal acyclic transducer from its sorted kept terms, by incremental construction with
 a register of equivalent states; its outputs add up to each term's lexicographic ordinal. The counted terms of the
 range are streamed through it, so that only kept terms are counted again, each under its ordinal; ordinals become
-global by prefix sums over ranges and break ties between equal values. The pair part only walks terms that either
-source has, inside each term's row, adding up before the shuffle; terms neither source has add V times the value of
-their two constant shares.
+global by prefix sums over ranges and break ties between equal values. For the pair part each kept term becomes a
+dense row of its lang's sources' shares (the constant share where a source lacks it); tasks add up f over their
+terms for every pair of sources, and Spark adds up the tasks' sums.
 
 Defined results: groups without any kept term still give their pair rows (value 0 where the lang keeps nothing) and
 no term rows; a lang with one source gives no pair rows; repeated rows count as documents each; an empty table
@@ -25,7 +25,9 @@ gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from decimal import Decimal
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -213,38 +215,63 @@ def term_part(shares: DataFrame, top: int) -> DataFrame:
     return ranked.where(F.col("rank") <= top)
 
 
+def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per (lang, s, o) of a batch of kept terms: the sum of f(p_s, p_o) over them.
+
+    Each term is a dense row of the shares of all sources of its lang, the constant share where a source lacks it;
+    f is taken for one column o against all at once. Sums are split into 32-bit halves, so no 64-bit sum overflows.
+    """
+    low = np.int64(0xFFFFFFFF)
+    for batch in batches:
+        out: dict[str, list] = {"lang": [], "s": [], "o": [], "total": []}
+        langs = batch.column("lang").to_pylist()
+        has, every = batch.column("has"), batch.column("every")
+        rows_of: dict[str, list[int]] = {}
+        for i, lang in enumerate(langs):
+            rows_of.setdefault(lang, []).append(i)
+        for lang, rows in rows_of.items():
+            names = [e["source"] for e in every[rows[0]].as_py()]
+            place = {n: j for j, n in enumerate(names)}
+            const = np.array([e["c"] for e in every[rows[0]].as_py()], np.int64)
+            shares = np.tile(const, (len(rows), 1))
+            for r, i in enumerate(rows):
+                for h in has[i].as_py():
+                    shares[r, place[h["source"]]] = h["p"]
+            for o, name in enumerate(names):
+                q = shares[:, o : o + 1]
+                d = shares - q
+                f = d * d // q
+                hi, lo = (f >> np.int64(32)).sum(0), (f & low).sum(0)
+                for s_, other in enumerate(names):
+                    if s_ != o:
+                        out["lang"].append(lang)
+                        out["s"].append(other)
+                        out["o"].append(name)
+                        out["total"].append(Decimal((int(hi[s_]) << 32) + int(lo[s_])))
+        yield pa.RecordBatch.from_pydict(
+            out, schema=pa.schema([("lang", pa.string()), ("s", pa.string()), ("o", pa.string()), ("total", pa.decimal128(38, 0))])
+        )
+
+
 def pair_part(shares: DataFrame, groups: DataFrame) -> DataFrame:
-    """Sum over kept terms of f(p_s, p_o), walking only the terms that s or o has.
+    """Sum over kept terms of f(p_s, p_o), q = p_o, for every ordered pair of sources of a lang.
 
-    Each kept term carries the sources that have it (at most the lang's sources); the differences it makes to each
-    ordered pair of sources are made inside its row and added up before the shuffle, so what moves is one row for
-    each pair and task, not one for each term and pair.
+    Every kept term is had by some source, so the terms with their sources' shares are all terms. Each task adds up
+    its terms' rows per pair; the sums, one row per task and pair, are added up by Spark.
     """
     width = shuffle_width(shares.sparkSession)
-    has = shares.groupBy("lang", "ordinal").agg(F.collect_list(F.struct("source", "p", "c")).alias("has"))
-    every = groups.groupBy("lang").agg(F.collect_list(F.struct("source", "c")).alias("every"))
+    has = shares.groupBy("lang", "ordinal").agg(F.collect_list(F.struct("source", "p")).alias("has"))
+    every = groups.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("source", "c"))).alias("every"))
     # A common lang's terms are spread over all salts, each of which gets the lang's list of sources.
     every = every.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
     has = has.withColumn("salt", F.pmod(F.xxhash64("ordinal"), F.lit(width)).cast("int")).join(every, ["lang", "salt"])
-    present = F.map_from_entries(F.transform("has", lambda h: F.struct(h["source"], h["p"])))
-
-    def delta(s, o, ps, po, cs, co):
-        return F.struct(s.alias("s"), o.alias("o"), (drift(ps, po) - drift(cs, co)).alias("d"))
-
-    mine = F.flatten(F.transform("has", lambda h: F.transform(
-        F.filter("every", lambda a: a["source"] != h["source"]),
-        lambda a: delta(h["source"], a["source"], h["p"], F.coalesce(F.element_at(present, a["source"]), a["c"]), h["c"], a["c"]))))
-    theirs = F.flatten(F.transform(
-        F.filter("every", lambda a: ~F.map_contains_key(present, a["source"])),
-        lambda a: F.transform("has", lambda h: delta(a["source"], h["source"], a["c"], h["p"], a["c"], h["c"]))))
-    moved = has.select("lang", F.explode(F.concat(mine, theirs)).alias("x"))
-    walked = moved.groupBy("lang", F.col("x.s").alias("s"), F.col("x.o").alias("o")).agg(F.sum(F.col("x.d").cast(BIG)).alias("walked"))
-    a = groups.select("lang", F.col("source").alias("s"), "v", F.col("c").alias("c_s"))
-    b = groups.select("lang", F.col("source").alias("o"), F.col("c").alias("c_o"))
+    walked = has.select("lang", "has", "every").mapInArrow(pair_sums, "lang string, s string, o string, total decimal(38,0)")
+    walked = walked.groupBy("lang", "s", "o").agg(F.sum("total").alias("walked"))
+    a = groups.select("lang", F.col("source").alias("s"))
+    b = groups.select("lang", F.col("source").alias("o"))
     # The pairs of sources of a lang are the rows asked for.
     pairs = a.join(b, "lang").where("s <> o").join(walked, ["lang", "s", "o"], "left")
-    constant = F.coalesce(F.col("v").cast(BIG) * drift(F.col("c_s"), F.col("c_o")).cast(BIG), F.lit(0).cast(BIG))
-    value = (constant + F.coalesce("walked", F.lit(0).cast(BIG))).cast("bigint")
+    value = F.coalesce("walked", F.lit(0).cast(BIG)).cast("bigint")
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     made = pairs.select("lang", F.col("s").alias("source"), F.lit("pair").alias("part"), F.col("o").alias("item"), value.alias("value"))
     return made.withColumn("rank", F.row_number().over(order))
