@@ -74,16 +74,21 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS) -> Trees:
     """Trees for ``label`` from at most ``train_rows`` labelled documents outside the held-out fold."""
     small_batches(docs.sparkSession)
-    usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-    usable = usable.groupBy("doc_id").agg(F.min(label).alias("y"))
+    labels = labels.select("doc_id", F.col(f"`{label}`").alias("y"))
+    usable = labels.where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+    usable = usable.groupBy("doc_id").agg(F.min("y").alias("y"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).toDF("label_id", "y")
 
     @F.arrow_udf("array<double>")
     def of(texts: pa.Array) -> pa.Array:
         return pa.array([[float(v) for v in statistics(t.as_py())] for t in texts], pa.list_(pa.float64()))
 
-    known = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-    rows = known.select("label_id", "y", of(text_or_empty("text")).alias("x")).toPandas()
+    # Only id and text of the documents, so that no column of theirs clashes; one text per labelled id, chosen on
+    # the executors (the one with the smallest hash), so that repeated rows of an id reach the driver once.
+    texts = docs.select(F.col("doc_id").alias("label_id"), text_or_empty("text").alias("t"))
+    known = texts.join(F.broadcast(chosen), "label_id")
+    known = known.groupBy("label_id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    rows = known.select("label_id", "y", of(F.col("t")).alias("x")).toPandas()
     rows = rows.sort_values("label_id", kind="stable")
     x = np.array(rows["x"].tolist(), "f8").reshape(-1, len(FEATURES))
     return fit(x, rows["y"].to_numpy("f8"))
