@@ -93,6 +93,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok, F.when(F.col("event_id") % 9 == 0, "").otherwise(F.col("props"))).alias("response_text"),
         F.round(F.col("value") * 100).cast("long").alias("input_tokens"),
         F.round(F.col("value") * 10).cast("long").alias("output_tokens"),
+        F.when(F.col("event_id") % 4 == 0, "fallback-model").otherwise("main-model").alias("model"),
     )
 
 

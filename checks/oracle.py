@@ -66,7 +66,8 @@ attempts AS (
     ts AS requested_at, event_type NOT IN ('error', 'click') AS ok,
     CASE event_type WHEN 'error' THEN '429 quota' WHEN 'click' THEN 'timeout' END AS error_msg,
     CASE WHEN event_type NOT IN ('error', 'click') THEN CASE WHEN event_id % 9 = 0 THEN '' ELSE props END END AS response_text,
-    CAST(round(value * 100) AS BIGINT) AS input_tokens, CAST(round(value * 10) AS BIGINT) AS output_tokens
+    CAST(round(value * 100) AS BIGINT) AS input_tokens, CAST(round(value * 10) AS BIGINT) AS output_tokens,
+    CASE WHEN event_id % 4 = 0 THEN 'fallback-model' ELSE 'main-model' END AS model
   FROM events
 )
 """
@@ -345,6 +346,11 @@ ORACLE = {
       CAST(sum(output_tokens) AS BIGINT) AS output_tokens, CAST(sum(input_tokens) + sum(output_tokens) AS BIGINT) AS total_tokens,
       round(sum(input_tokens) / 1e6 * 0.01875 + sum(output_tokens) / 1e6 * 0.075, 12) AS cost_usd
       FROM attempts WHERE ok OR response_text IS NOT NULL GROUP BY batch_id""",
+    "usage_by_model": _with(_ATTEMPTS)
+    + """SELECT batch_id, model, count(*) AS request_count, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
+      CAST(sum(output_tokens) AS BIGINT) AS output_tokens, CAST(sum(input_tokens) + sum(output_tokens) AS BIGINT) AS total_tokens,
+      round(sum(input_tokens) / 1e6 * 0.01875 + sum(output_tokens) / 1e6 * 0.075, 12) AS cost_usd
+      FROM attempts WHERE ok OR response_text IS NOT NULL GROUP BY batch_id, model""",
     "daily_usage": _with(_ATTEMPTS)
     + """SELECT strftime(requested_at, '%Y-%m-%d') AS day, count(*) AS request_count, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
       CAST(sum(output_tokens) AS BIGINT) AS output_tokens, CAST(sum(input_tokens) + sum(output_tokens) AS BIGINT) AS total_tokens,

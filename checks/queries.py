@@ -458,6 +458,11 @@ def usage_cost(spark: SparkSession, d: str) -> DataFrame:
     return att.usage_stats(fx.attempts(spark, d), BY_FIELDS).withColumn("cost_usd", F.round("cost_usd", 12))
 
 
+def usage_by_model(spark: SparkSession, d: str) -> DataFrame:
+    """Requests, tokens and cost of each batch by the model that answered."""
+    return att.usage_stats(fx.attempts(spark, d), [*BY_FIELDS, "model"]).withColumn("cost_usd", F.round("cost_usd", 12))
+
+
 def daily_usage(spark: SparkSession, d: str) -> DataFrame:
     return att.daily_usage(fx.attempts(spark, d), "requested_at", 200).withColumn("cost_usd", F.round("cost_usd", 12))
 
@@ -628,6 +633,7 @@ QUERIES = {
     "commit_marks": commit_marks,
     "throughput_blocks": throughput_blocks,
     "usage_cost": usage_cost,
+    "usage_by_model": usage_by_model,
     "daily_usage": daily_usage,
     "progress_summary": progress_summary,
     "enrich_table": enrich_table,

@@ -118,5 +118,6 @@ RESPONSE_SCHEMA = T.StructType(
         T.StructField("response_text", T.StringType()),
         T.StructField("input_tokens", T.LongType()),
         T.StructField("output_tokens", T.LongType()),
+        T.StructField("model", T.StringType()),
     ]
 )
