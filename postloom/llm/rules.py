@@ -139,11 +139,15 @@ def certified(measured: DataFrame, labels: DataFrame, label: str = "quality", st
 
 
 def known_rows(measured: DataFrame, labels: DataFrame, label: str, stratum: str) -> DataFrame:
-    """Labelled rows outside the held-out fold that pass the base rule: doc_id, stratum, ``y``, cutoffs passed by each rule."""
+    """Labelled documents outside the held-out fold that pass the base rule, once each: doc_id, stratum, ``y``, cutoffs
+    passed by each rule."""
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     usable = usable.groupBy("doc_id").agg(F.min(label).alias("y"))
     known = measured.join(usable, "doc_id").where(~base_failed())
-    return known.select("doc_id", F.col(f"`{stratum}`").alias("stratum"), "y", *(passed_cutoffs(r).alias(r) for r in RULES))
+    known = known.select("doc_id", F.col(f"`{stratum}`").alias("stratum"), "y", *(passed_cutoffs(r).alias(r) for r in RULES))
+    # One row per document: of rows repeating a doc_id, the one whose values hash least, chosen before the shuffle.
+    one = F.min_by(F.struct(*known.columns), F.xxhash64(*known.columns))
+    return known.groupBy("doc_id").agg(one.alias("_k")).select("_k.*")
 
 
 def rejections(known: DataFrame) -> DataFrame:

@@ -55,3 +55,20 @@ def test_no_stratum_loses_more_than_the_rate(spark):
         made = rules.with_verdicts(df.drop("quality"), chosen).join(df.select("doc_id", "quality"), "doc_id").where("quality = 1")
         lost += sum(r.share > 1.5 * rules.RATE for r in made.groupBy("lang").agg(F.avg(1 - F.col("kept").cast("int")).alias("share")).collect())
     assert lost == 0
+
+
+def test_repeated_rows_count_once(spark):
+    """Three labelled documents repeated ten times are three documents to the binomial bound, not thirty."""
+    from postloom.llm import rules
+
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(i % 3, text + f" {i % 3}", "en", "s") for i in range(30)], "doc_id bigint, text string, lang string, source string")
+    labels = spark.createDataFrame([(d, 1, 0) for d in range(3)], "doc_id bigint, quality int, toxic int")
+    known = rules.known_rows(rules.counts(docs), labels, "quality", "lang")
+    assert known.count() == sum(1 for d in range(3) if not rules_held(spark, d))
+
+
+def rules_held(spark, d):
+    from postloom.llm.quality import held_out
+
+    return spark.createDataFrame([(d,)], "doc_id bigint").select(held_out().alias("h")).first().h
