@@ -8,9 +8,9 @@ sum of f over all kept terms, q the other source's share; part ``term``: each ke
 its share in the lang (q), ranked and cut after ``top`` ranks. Ranks run per group and part, value descending, item
 ascending in UTF-8 order. All arithmetic is exact (decimals where products outgrow 64 bits).
 
-The method. The kept vocabulary is split into ranges of (lang, term) by range partitioning, together with the term
-counts of the documents, which Spark takes from texts in the JVM and adds up per (lang, source, term) before the
-shuffle. Each range builds a minimal acyclic transducer from its sorted kept terms, by incremental construction with
+The method. Texts are split into terms once, in Arrow batches, and counted per (lang, source, term) with the number
+of documents that hold each; Spark adds the counts up before the shuffle. The kept vocabulary is split into ranges of
+(lang, term) by range partitioning, together with the counted terms. Each range builds a minimal acyclic transducer from its sorted kept terms, by incremental construction with
 a register of equivalent states; its outputs add up to each term's lexicographic ordinal. The counted terms of the
 range are streamed through it, so that only kept terms are counted again, each under its ordinal; ordinals become
 global by prefix sums over ranges and break ties between equal values. For the pair part each kept term becomes a
@@ -24,6 +24,8 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from decimal import Decimal
 
@@ -32,12 +34,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from postloom.llm.common import written
+from postloom.llm.common import small_batches, written
 from postloom.session import shuffle_width
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+TERM_RE = re.compile(TERM)
+LOWER_MAP = str.maketrans(UPPER, LOWER)
 SCALE = 1_000_000_000
 MIN_DOCS = 3
 TOP = 200
@@ -122,8 +126,21 @@ class Vocabulary:
         return total if self.final[state] else None
 
 
-def terms(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(TERM), 0), lambda t: F.translate(t, UPPER, LOWER))
+def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch of documents: occurrences of each (lang, source, term) and the documents that hold it."""
+    for batch in batches:
+        occurrences: dict[tuple[str, str, str], list[int]] = {}
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+            for term, n in Counter(TERM_RE.findall(text.translate(LOWER_MAP))).items():
+                seen = occurrences.setdefault((lang, source, term), [0, 0])
+                seen[0] += n
+                seen[1] += 1
+        keys = list(occurrences)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[i] for k in keys], pa.string()) for i in range(3)]
+            + [pa.array([v[i] for v in occurrences.values()], pa.int64()) for i in range(2)],
+            names=["lang", "source", "term", "count", "docs"],
+        )
 
 
 def recount(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,15 +193,17 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFram
     base = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        terms(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("terms"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    # Texts are read and split again for each use rather than written as terms, which would outweigh them.
     groups = written(base.select("lang", "source").distinct(), "llm-audit-groups")
-    per_doc = base.select("lang", F.explode(F.array_distinct("terms")).alias("term"))
-    kept = per_doc.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
+    small_batches(spark)
+    found_terms = base.mapInArrow(term_counts, "lang string, source string, term string, count bigint, docs bigint")
+    # Each task adds up its batches again before the shuffle; a common term moves once a task.
+    totals = found_terms.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    totals = written(totals, "llm-audit-counts")
+    kept = totals.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
     kept = written(kept.select("lang", "term", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("source"), F.lit(0).cast("bigint").alias("count")), "llm-audit-kept")
-    counted = base.select("lang", "source", F.explode("terms").alias("term")).groupBy("lang", "term", "source").agg(F.count(F.lit(1)).alias("count"))
-    counted = written(counted.select("lang", "term", F.lit(1).alias("kind"), "source", "count"), "llm-audit-counts")
+    counted = totals.select("lang", "term", F.lit(1).alias("kind"), "source", "count")
     ranges = max(shuffle_width(spark), -(-(kept.count() + counted.count()) // RANGE_ROWS))
     both = kept.unionByName(counted).repartitionByRange(ranges, "lang", "term").sortWithinPartitions("lang", "term", "kind")
     found = written(both.mapInArrow(recount, "range int, lang string, source string, ordinal bigint, term string, count bigint"), "llm-audit-found")
