@@ -51,3 +51,18 @@ def test_stages(spark):
 def test_every_operator_is_registered():
     names = [q for q in entry.queries() if q.startswith("op")]
     assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14)) and "pipeline" in entry.queries()
+
+
+def test_stages_on_empty_and_clashing_tables(spark):
+    """Each stage takes an empty table, and extra columns with the names its own work uses, without crashing."""
+    from pyspark.sql import functions as F
+
+    docs = table(spark, SF, "documents").limit(60)
+    clashing = docs.withColumns({c: F.lit(1) for c in ("score", "y", "label_id", "kept_fp", "kept_node", "tid", "kept", "row", "stratum")})
+    for inputs in (docs.limit(0), clashing):
+        for name, stage in corpus_pipeline.STAGES:
+            out = written(stage(spark, inputs, SF), "test-edge")
+            if name != "best_fit_packing":
+                assert out.columns == inputs.columns
+            inputs = out
+        assert out.count() == 0 or out.where("length > 0").count() == out.count()
