@@ -46,6 +46,7 @@ SCALE = 1_000_000_000
 MIN_DOCS = 3
 TOP = 200
 RANGE_ROWS = 1 << 18
+COUNTED_KEYS = 1 << 19  # bounds the counts a task holds before it gives them to Spark
 BIG = "decimal(38,0)"
 
 
@@ -127,20 +128,32 @@ class Vocabulary:
 
 
 def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch of documents: occurrences of each (lang, source, term) and the documents that hold it."""
-    for batch in batches:
-        occurrences: dict[tuple[str, str, str], list[int]] = {}
-        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-            for term, n in Counter(TERM_RE.findall(text.translate(LOWER_MAP))).items():
-                seen = occurrences.setdefault((lang, source, term), [0, 0])
-                seen[0] += n
-                seen[1] += 1
+    """Per task: occurrences of each (lang, source, term) and the documents that hold it, given out whenever
+    ``COUNTED_KEYS`` different keys are held, and at the end."""
+    occurrences: dict[tuple[str, str, str], list[int]] = {}
+
+    def flush() -> pa.RecordBatch:
         keys = list(occurrences)
-        yield pa.RecordBatch.from_arrays(
+        out = pa.RecordBatch.from_arrays(
             [pa.array([k[i] for k in keys], pa.string()) for i in range(3)]
             + [pa.array([v[i] for v in occurrences.values()], pa.int64()) for i in range(2)],
             names=["lang", "source", "term", "count", "docs"],
         )
+        occurrences.clear()
+        return out
+
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+            for term, n in Counter(TERM_RE.findall(text.translate(LOWER_MAP))).items():
+                seen = occurrences.get((lang, source, term))
+                if seen is None:
+                    occurrences[(lang, source, term)] = [n, 1]
+                else:
+                    seen[0] += n
+                    seen[1] += 1
+        if len(occurrences) >= COUNTED_KEYS:
+            yield flush()
+    yield flush()
 
 
 def recount(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
