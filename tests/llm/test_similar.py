@@ -1,9 +1,12 @@
-"""Near duplicates of the pipeline's stage against the exact similarity of every pair."""
+"""Near duplicates by five-word Jaccard (``jaccard.keep_one``) against the exact similarity of every pair.
+
+The pipeline's near-dedup stage is the SimHash operator now; it is tested against brute force in ``test_pipeline``.
+"""
 
 import random
 
-import corpus_pipeline
 from llm.helpers import docs, syllables
+from postloom.llm import jaccard
 
 
 def plain_sets(text):
@@ -40,7 +43,7 @@ def copies(rng, n, changes):
 
 
 def stage(spark, rows):
-    return corpus_pipeline.one_of_each(spark, docs(spark, rows), "")
+    return jaccard.keep_one(docs(spark, rows))
 
 
 def test_pairs_over_four_fifths_are_linked(spark):
