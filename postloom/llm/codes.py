@@ -105,12 +105,25 @@ def round_sums(parts_table: DataFrame, books: list[np.ndarray], width: int) -> D
                 at = np.flatnonzero(pos == p)
                 parts = as_matrix([values[i] for i in at], width)
                 entry, _ = walk(parts, shared.value[p])
+                w = weight[at]
                 totals: dict[tuple[int, int], int] = {}
-                for k, e in enumerate(entry):
-                    w = int(weight[at[k]])
-                    totals[(int(e), -1)] = totals.get((int(e), -1), 0) + w
-                    for j in range(width):
-                        totals[(int(e), j)] = totals.get((int(e), j), 0) + w * int(parts[k, j])
+                if parts.dtype != object and len(w) and int(w.max()) * SMALL * len(w) < 1 << 62:
+                    # Weighted sums per entry at once: every product and sum stays below 2**62.
+                    used = np.unique(entry)
+                    sums = np.zeros((len(used), width), np.int64)
+                    counts = np.zeros(len(used), np.int64)
+                    slot = np.searchsorted(used, entry)
+                    np.add.at(sums, slot, parts * w[:, None])
+                    np.add.at(counts, slot, w)
+                    for e, row, c in zip(used.tolist(), sums.tolist(), counts.tolist()):
+                        totals[(e, -1)] = c
+                        totals.update(((e, j), v) for j, v in enumerate(row))
+                else:
+                    for k, e in enumerate(entry):
+                        n = int(w[k])
+                        totals[(int(e), -1)] = totals.get((int(e), -1), 0) + n
+                        for j in range(width):
+                            totals[(int(e), j)] = totals.get((int(e), j), 0) + n * int(parts[k, j])
                 for (e, j), t in totals.items():
                     out_pos.append(int(p))
                     out_entry.append(e)
