@@ -48,7 +48,8 @@ def dedup(df: DataFrame, key: Sequence[str], event_time: str, delay: str) -> Dat
 
     There is one state, by key alone: a second one by (key, place) in front of it
     would outlive it and drop rows that this one lets pass. A common key's rows of
-    a micro-batch therefore meet in one task; ``maxFilesPerTrigger`` bounds them.
+    a micro-batch therefore meet in one task, as many as the micro-batch holds;
+    ``dedup_into`` cuts them to one row per key and task before the shuffle.
     """
     timed = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
