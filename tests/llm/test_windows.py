@@ -1,5 +1,6 @@
 """Bounded-space packing against the library's ids: every id in one piece, full sequences but the last."""
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 from llm.helpers import EDGES, syllables
 from postloom.llm import windows
+from postloom.llm.bpe import merge_short
 
 WORDS = path("word_bpe_49k.json")
 
@@ -66,3 +68,52 @@ def test_pack_covers_every_id_once(spark, capacity, slots):
     total = sum(len(ids) for ids in want)
     assert len(fill) == -(-total // capacity)
     assert windows.pack(df.limit(0), WORDS).count() == 0
+
+
+@pytest.fixture(scope="module")
+def encode():
+    return windows.Encoder(open(WORDS, "rb").read())
+
+
+def test_each_safe_character_as_the_library(encode):
+    for c in windows.SAFE:
+        forms = [c, f"a{c}b", f"'{c}", f"{c}'s", f"{c}{c}1{c}", f" {c} "]
+        assert all(map(encode.plain, forms))
+        for form, ids in zip(forms, encode.each(forms), strict=True):
+            assert ids.tolist() == encode.whole(form).tolist(), hex(ord(c))
+
+
+def test_words_once_a_slice_as_the_library(encode, monkeypatch):
+    rng = random.Random(6)
+    odd = [*"abstrevmldAS''''  12\n\t\xa0.,-_é", "'s", "'re", "'LL", "sword", "ß", "²", "Ǆ", "Я", "…", "a" * 3000]
+    texts = EDGES[1:] + ["".join(rng.choice(odd) for _ in range(rng.randint(0, 25))) for _ in range(1500)]
+    texts += [syllables(rng, 50), "Σς", "é", "İ", "\x85", "<|endoftext|> x", "a<|startoftext|>"]
+    want = [encode.whole(t).tolist() for t in texts]
+    monkeypatch.setattr(windows, "SLICE_CHARS", 500)
+    assert [ids.tolist() for ids in encode.each(texts)] == want
+    asked, whole = [], encode.whole
+    monkeypatch.setattr(encode, "whole", lambda t: asked.append(t) or whole(t))
+    assert len(list(encode.each(texts))) == len(texts)
+    # Only texts with other characters or with added tokens go through the library whole.
+    assert asked == [t for t in texts if not encode.plain(t)] and len(asked) < 20
+
+
+def test_every_merge_makes_its_token(encode):
+    """Then merges by the joined bytes are those by pairs."""
+    model = json.load(open(WORDS))["model"]
+    vocab, merges = model["vocab"], {}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    for rank, (a, b) in enumerate(pairs):
+        merges[vocab[a], vocab[b]] = rank << 20 | vocab[a + b]
+    for a, b in pairs:
+        token, last = (a + b).removesuffix(windows.END), (a + b).endswith(windows.END)
+        symbols = [vocab[c] for c in token[:-1]] + [vocab[token[-1] + windows.END * last]]
+        assert merge_short(symbols, merges) == [vocab[a + b]]
+
+
+def test_other_rules_go_through_the_library():
+    spec = json.load(open(WORDS))
+    spec["normalizer"]["normalizers"].pop()
+    other = windows.Encoder(json.dumps(spec).encode())
+    assert not other.plain("The word")
+    assert [ids.tolist() for ids in other.each(["The word"])] == [other.library.encode("The word", add_special_tokens=False).ids]
