@@ -8,11 +8,11 @@ sum of f over all kept terms, q the other source's share; part ``term``: each ke
 its share in the lang (q), ranked and cut after ``top`` ranks. Ranks run per group and part, value descending, item
 ascending in UTF-8 order. All arithmetic is exact (decimals where products outgrow 64 bits).
 
-The method. Texts are split into terms once, in Arrow batches, and counted per (lang, source, term) with the number
+The method. Texts are split into terms once, by Arrow, and counted with numpy per (lang, source, term) with the number
 of documents that hold each; Spark adds the counts up before the shuffle. The kept vocabulary is split into ranges of
 (lang, term) by range partitioning, together with the counted terms. Each range builds a minimal acyclic transducer from its sorted kept terms, by incremental construction with
 a register of equivalent states; its outputs add up to each term's lexicographic ordinal. The counted terms of the
-range are streamed through it, so that only kept terms are counted again, each under its ordinal; ordinals become
+range go through it, each different term once, so that only kept terms are counted again, each under its ordinal; ordinals become
 global by prefix sums over ranges and break ties between equal values. For the pair part each kept term becomes a
 dense row of its lang's sources' shares (the constant share where a source lacks it); tasks add up f over their
 terms for every pair of sources, and Spark adds up the tasks' sums.
@@ -24,13 +24,12 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,13 +39,13 @@ from postloom.session import shuffle_width
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
-TERM_RE = re.compile(TERM)
-LOWER_MAP = str.maketrans(UPPER, LOWER)
+# Bytes of UTF-8: letters and all beyond ASCII stay, A-Z lower-cased, the rest are blanks.
+SEPARATED = bytes(b if b >= 0x80 else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
 SCALE = 1_000_000_000
 MIN_DOCS = 3
 TOP = 200
 RANGE_ROWS = 1 << 18
-COUNTED_KEYS = 1 << 19  # bounds the counts a task holds before it gives them to Spark
+COUNTED_BYTES = 16 << 20  # texts that a task counts at once
 BIG = "decimal(38,0)"
 
 
@@ -127,68 +126,89 @@ class Vocabulary:
         return total if self.final[state] else None
 
 
-def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: occurrences of each (lang, source, term) and the documents that hold it, given out whenever
-    ``COUNTED_KEYS`` different keys are held, and at the end."""
-    occurrences: dict[tuple[str, str, str], list[int]] = {}
-
-    def flush() -> pa.RecordBatch:
-        keys = list(occurrences)
-        out = pa.RecordBatch.from_arrays(
-            [pa.array([k[i] for k in keys], pa.string()) for i in range(3)]
-            + [pa.array([v[i] for v in occurrences.values()], pa.int64()) for i in range(2)],
-            names=["lang", "source", "term", "count", "docs"],
-        )
-        occurrences.clear()
-        return out
+def separated(text: pa.Array) -> pa.Array:
+    """Texts (no nulls) with blanks for whatever is in no term, and A-Z lower-cased: bytes stay where they are."""
+    _, offsets, data = text.buffers()
+    data = pa.py_buffer((data.to_pybytes() if data else b"").translate(SEPARATED))
+    return pa.Array.from_buffers(text.type, len(text), [None, offsets, data], offset=text.offset)
 
-    for batch in batches:
-        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-            for term, n in Counter(TERM_RE.findall(text.translate(LOWER_MAP))).items():
-                seen = occurrences.get((lang, source, term))
-                if seen is None:
-                    occurrences[(lang, source, term)] = [n, 1]
-                else:
-                    seen[0] += n
-                    seen[1] += 1
-        if len(occurrences) >= COUNTED_KEYS:
-            yield flush()
-    yield flush()
-
-
-def recount(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per range: its vocabulary sizes by lang, and the counts of kept terms by (lang, source, local ordinal)."""
-    pid = TaskContext.get().partitionId()
-    out = {k: [] for k in ("range", "lang", "source", "ordinal", "term", "count")}
-    lang, vocabulary, counted = None, [], []
-
-    def close() -> None:
-        if lang is None:
-            return
-        automaton = Vocabulary(t.encode() for t in vocabulary)
-        for k, v in (("range", pid), ("lang", lang), ("source", None), ("ordinal", None), ("term", None), ("count", automaton.size)):
-            out[k].append(v)
-        for term, source, count in counted:
-            ordinal = automaton.ordinal(term.encode())
-            if ordinal is not None:
-                for k, v in (("range", pid), ("lang", lang), ("source", source), ("ordinal", ordinal), ("term", term), ("count", count)):
-                    out[k].append(v)
-
-    for batch in rows:
-        for l, term, kind, source, count in zip(*(batch.column(c).to_pylist() for c in ("lang", "term", "kind", "source", "count"))):
-            if l != lang:
-                close()
-                lang, vocabulary, counted = l, [], []
-            if kind == 0:
-                vocabulary.append(term)
-            else:
-                counted.append((term, source, count))
-    close()
-    yield pa.RecordBatch.from_pydict(
-        out, schema=pa.schema([("range", pa.int32()), ("lang", pa.string()), ("source", pa.string()), ("ordinal", pa.int64()), ("term", pa.string()), ("count", pa.int64())])
+
+def counted(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Occurrences of each (lang, source, term) of the batches, and the documents that hold it.
+
+    Terms are coded by Arrow; counts are those of equal (document, term) and then (group, term) codes.
+    """
+    lang, source, text = (pa.concat_arrays([b.column(c) for b in batches]) for c in ("lang", "source", "text"))
+    split = pc.ascii_split_whitespace(separated(text))
+    coded = split.flatten().dictionary_encode()
+    terms, lang, source = coded.dictionary, lang.dictionary_encode(), source.dictionary_encode()
+    width, sources = max(1, len(terms)), max(1, len(source.dictionary))
+    doc = np.repeat(np.arange(len(text)), np.diff(split.offsets.to_numpy()))
+    found, n = np.unique(doc * width + coded.indices.to_numpy(), return_counts=True)
+    real = pc.binary_length(terms).to_numpy() > 0  # a split gives empty strings at blank ends
+    found, n = found[real[found % width]], n[real[found % width]]
+    groups, group = np.unique(lang.indices.to_numpy().astype(np.int64) * sources + source.indices.to_numpy(), return_inverse=True)
+    keys, place = np.unique(group[found // width] * width + found % width, return_inverse=True)
+    of = groups[keys // width]
+    return pa.RecordBatch.from_arrays(
+        [
+            lang.dictionary.take(pa.array(of // sources)),
+            source.dictionary.take(pa.array(of % sources)),
+            terms.take(pa.array(keys % width)),
+            # Sums below 2**53, so exact.
+            pa.array(np.bincount(place, n, len(keys)).astype(np.int64)),
+            pa.array(np.bincount(place, minlength=len(keys))),
+        ],
+        names=["lang", "source", "term", "count", "docs"],
     )
 
 
+def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task: ``counted`` of every ``COUNTED_BYTES`` of texts."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column("text").nbytes
+        if size >= COUNTED_BYTES:
+            yield counted(held)
+            held, size = [], 0
+    if held:
+        yield counted(held)
+
+
+def recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per range: its vocabulary sizes by lang, and the counts of kept terms by (lang, source, local ordinal).
+
+    Rows come sorted by (lang, term, kind); each different term goes through the transducer once.
+    """
+    pid, held = TaskContext.get().partitionId(), [b for b in batches if b.num_rows]
+    if not held:
+        return
+    lang, term, kind, source, count = (pa.concat_arrays([b.column(c) for b in held]) for c in ("lang", "term", "kind", "source", "count"))
+    held.clear()
+    codes = lang.dictionary_encode()
+    bounds = [0, *(np.flatnonzero(np.diff(codes.indices.to_numpy())) + 1).tolist(), len(lang)]
+    for a, b in zip(bounds, bounds[1:]):
+        terms = term.slice(a, b - a).dictionary_encode()
+        words, at = terms.dictionary.cast(pa.binary()).to_pylist(), terms.indices.to_numpy()
+        kept = kind.slice(a, b - a).to_numpy() == 0
+        automaton = Vocabulary(words[i] for i in at[kept].tolist())
+        ordinals = np.array([-1 if (o := automaton.ordinal(w)) is None else o for w in words], np.int64)[at]
+        rows = pa.array(np.flatnonzero(~kept & (ordinals >= 0)) + a)
+        n = len(rows) + 1
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n, pid, np.int32)),
+                pa.concat_arrays([lang.slice(a, 1), lang.take(rows)]),
+                pa.concat_arrays([pa.nulls(1, pa.string()), source.take(rows)]),
+                pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(ordinals[rows.to_numpy() - a])]),
+                pa.concat_arrays([pa.nulls(1, pa.string()), term.take(rows)]),
+                pa.concat_arrays([pa.array([automaton.size], pa.int64()), count.take(rows)]),
+            ],
+            names=["range", "lang", "source", "ordinal", "term", "count"],
+        )
+
+
 def share(count: Column, n: Column, v: Column) -> Column:
     """``1 + floor(SCALE * (count + 1) / (n + v))``, exactly: integral division of decimals."""
     top = F.lit(SCALE).cast(BIG) * (count + 1).cast(BIG)
@@ -253,27 +273,25 @@ def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Each term is a dense row of the shares of all sources of its lang, the constant share where a source lacks it;
     f is taken for one column o against all at once. Sums are split into 32-bit halves, so no 64-bit sum overflows.
     """
-    low = np.int64(0xFFFFFFFF)
+    low = np.uint64(0xFFFFFFFF)
     for batch in batches:
         out: dict[str, list] = {"lang": [], "s": [], "o": [], "total": []}
         langs = batch.column("lang").to_pylist()
-        has, every = batch.column("has"), batch.column("every")
         rows_of: dict[str, list[int]] = {}
         for i, lang in enumerate(langs):
             rows_of.setdefault(lang, []).append(i)
         for lang, rows in rows_of.items():
-            names = [e["source"] for e in every[rows[0]].as_py()]
-            place = {n: j for j, n in enumerate(names)}
-            const = np.array([e["c"] for e in every[rows[0]].as_py()], np.int64)
-            shares = np.tile(const, (len(rows), 1))
-            for r, i in enumerate(rows):
-                for h in has[i].as_py():
-                    shares[r, place[h["source"]]] = h["p"]
+            every, has = batch.column("every")[rows[0]].values, batch.column("has").take(pa.array(rows))
+            sources, names = every.field("source"), every.field("source").to_pylist()
+            had = has.flatten()
+            shares = np.tile(every.field("c").to_numpy(), (len(rows), 1))
+            place = pc.index_in(had.field("source"), sources).to_numpy()
+            shares[np.repeat(np.arange(len(rows)), pc.list_value_length(has).to_numpy()), place] = had.field("p").to_numpy()
             for o, name in enumerate(names):
                 q = shares[:, o : o + 1]
                 d = shares - q
-                f = d * d // q
-                hi, lo = (f >> np.int64(32)).sum(0), (f & low).sum(0)
+                f = (d * d).view(np.uint64) // q.view(np.uint64)
+                hi, lo = (f >> np.uint64(32)).sum(0), (f & low).sum(0)
                 for s_, other in enumerate(names):
                     if s_ != o:
                         out["lang"].append(lang)

@@ -1,6 +1,7 @@
 """The divergence audit against its SQL in DuckDB, and the transducer against a sorted list."""
 
 import random
+import re
 
 import duckdb
 import pyarrow as pa
@@ -45,3 +46,41 @@ def test_audit_equals_its_sql(spark, tmp_path):
     assert got == want
     assert {r[0] for r in got if r[2] == "pair"} >= {"empty"} and not any(r[0] == "solo" for r in got if r[2] == "pair")
     assert audit.audit(df.limit(0)).count() == 0
+
+
+def test_counts_of_a_task(monkeypatch):
+    """Against plain loops, over batches of several sizes; slices of batches too."""
+    rng = random.Random(4)
+    texts = [t or "" for t in EDGES] + ["".join(rng.choice(["a", "B", "Éé", "漢", " ", "\n", "_9", "\x7f", "\x80", "K"]) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    rows = [(rng.choice(["", "en", "de"]), rng.choice(["", "x", "y"]), t) for t in texts]
+    want = {}
+    for lang, source, text in rows:
+        terms = re.findall(audit.TERM, text.translate(str.maketrans(audit.UPPER, audit.LOWER)))
+        for term in set(terms):
+            n, docs = want.get((lang, source, term), (0, 0))
+            want[lang, source, term] = n + terms.count(term), docs + 1
+    whole = pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["lang", "source", "text"])
+    cuts = [0, 0, 1, 7, 60, 61, 300, len(rows)]
+    for size in (1, 2000, 1 << 20):
+        monkeypatch.setattr(audit, "COUNTED_BYTES", size)
+        made = list(audit.term_counts(iter(whole.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))))
+        assert len(made) == {1: 6, 1 << 20: 1}.get(size, len(made))
+        got = {}
+        for batch in made:
+            for *key, n, docs in zip(*(c.to_pylist() for c in batch.columns)):
+                had = got.get(tuple(key), (0, 0))
+                got[tuple(key)] = had[0] + n, had[1] + docs
+        assert got == want
+
+
+def test_each_term_goes_through_the_transducer_once(monkeypatch):
+    asked, ordinal = [], audit.Vocabulary.ordinal
+    monkeypatch.setattr(audit.Vocabulary, "ordinal", lambda self, w: asked.append(w) or ordinal(self, w))
+    monkeypatch.setattr(audit.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    rows = [("de", "b", 0, None, 0), ("de", "b", 1, "x", 2), ("de", "b", 1, "y", 5), ("de", "c", 1, "x", 9), ("en", "a", 1, "x", 1), ("en", "é", 0, None, 0), ("en", "é", 1, "x", 4)]
+    types = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64()]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["lang", "term", "kind", "source", "count"])
+    made = [r for b in audit.recount(iter([whole.slice(0, 2), whole.slice(2)])) for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert made == [(3, "de", None, None, None, 1), (3, "de", "x", 0, "b", 2), (3, "de", "y", 0, "b", 5), (3, "en", None, None, None, 1), (3, "en", "x", 0, "é", 4)]
+    assert asked == [b"b", b"c", b"a", "é".encode()]
+    assert list(audit.recount(iter([]))) == []
