@@ -1,5 +1,6 @@
 """Sources, sinks and streams."""
 
+import glob
 import json
 import os
 
@@ -218,6 +219,23 @@ def test_retention(spark):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_retention_of_many_batches_writes_few_files(spark):
+    rows = spark.range(900).selectExpr("concat('b', id div 3) AS batch_id", "cast(id AS string) AS row_key", "timestamp_seconds(id) AS done_at")
+    rows = rows.unionByName(spark.sql("SELECT '' AS batch_id, 'e' AS row_key, timestamp_seconds(1) AS done_at UNION ALL SELECT NULL, 'n', NULL"))
+    path = shared_dir(spark, "kept")
+    sinks.rewrite_processed(rows, path, 1)
+    assert len(glob.glob(f"{path}/**/*.parquet", recursive=True)) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = resume.read_processed(spark, path)
+    key = lambda r: (r.batch_id or "", r.row_key)
+    assert sorted(kept.select("batch_id", "row_key", "done_at").collect(), key=key) == sorted(rows.collect(), key=key)
+    one = resume.load_batch(kept, "b7")
+    assert sorted(r.row_key for r in one.collect()) == ["21", "22", "23"]
+    assert "EqualTo(batch_id,b7)" in one._jdf.queryExecution().toString()
+    empty = shared_dir(spark, "kept")
+    sinks.rewrite_processed(rows.limit(0), empty)
+    assert resume.read_processed(spark, empty).count() == 0
+
+
 def test_stream_ingest_takes_each_file_once(spark):
     base = shared_dir(spark, "ingest")
     schema = "v long"
